@@ -48,7 +48,7 @@ _PHONE = (
 
 def strip(text: Column | str) -> Column:
     """Remove whitespace, in the Unicode sense, from both ends."""
-    return F.trim(as_column(text), F.lit(WHITESPACE))
+    return F.btrim(as_column(text), F.lit(WHITESPACE))
 
 
 def decode_utf8(content: Column | str) -> Column:

@@ -7,8 +7,10 @@ parser for their file format; a caller plugs in ``{type: function(bytes) -> str}
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from importlib import import_module
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from layerworks.functions.ids import SOURCE_TYPES, document_id, source_type
 from layerworks.functions.text import clean_text, decode_utf8, redact_pii
 from layerworks.operators.dedup import dedup_documents
 
+# Executors need not have this package installed: its functions travel by value.
+cloudpickle.register_pickle_by_value(import_module("layerworks"))
+
 Parser = Callable[[bytes], str]
 
 # The type whose files are text already.
@@ -67,7 +72,8 @@ def add_extracted_text(
     kind, content = F.col("source_type"), F.col("binary_content")
     documents = documents.withColumn("source_type", source_type("file_path", types))
     is_text = (kind == TEXT_TYPE) if TEXT_TYPE not in parsers else F.lit(False)
-    raw = F.when(is_text, decode_utf8(content))
+    has_text = is_text & content.isNotNull()
+    raw = decode_utf8(content)
     reason = (
         F.when(kind.isNull(), "unsupported_type")
         .when(content.isNull(), "null_content")
@@ -78,16 +84,19 @@ def add_extracted_text(
         documents = documents.withColumn(
             "_parsed", _parsed(parsers, F.when(has_parser, content), kind)
         )
-        error = F.col("_parsed.error")
-        raw = raw.when(has_parser, F.col("_parsed.text"))
+        parsed, error = F.col("_parsed.text"), F.col("_parsed.error")
+        has_text = has_text | (has_parser & parsed.isNotNull())
+        raw = F.when(has_parser, parsed).otherwise(raw)
         reason = reason.when(
             has_parser, F.when(error.isNotNull(), F.concat(F.lit("parse_error:"), error))
         )
     reason = reason.otherwise(F.concat(F.lit("no_parser:"), kind))
     if CORRUPT_COLUMN in documents.columns:
         reason = F.coalesce(F.col(CORRUPT_COLUMN), reason)
-    # An empty file has a text, the empty one; a failure has none.
-    text = F.when(raw.isNotNull(), redact_pii(clean_text(raw)))
+    # An empty file has a text, the empty one; a failure has none.  As the masked
+    # text is never null itself, a later test for a missing text reduces to
+    # ``has_text``: the optimiser need not clean and mask to evaluate it.
+    text = F.when(has_text, F.coalesce(redact_pii(clean_text(raw)), F.lit("")))
     return documents.withColumns({"extracted_text": text, CORRUPT_COLUMN: reason}).drop("_parsed")
 
 

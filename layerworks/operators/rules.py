@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from layerworks.config import ConfigError, section
 from layerworks.functions.ids import lookup
+from layerworks.sources.literals import literal_rows
 
 # Columns of the common data model, in order.
 CDM_COLUMNS = (
@@ -78,9 +79,7 @@ def _join_values(df: DataFrame, column: str, entries: Mapping[str, str]) -> Data
     where they fit, and AQE splits a skewed value otherwise.
     """
     key, target = f"_{column}_from", f"_{column}_to"
-    rows = df.sparkSession.createDataFrame(
-        list(entries.items()), f"`{key}` string, `{target}` string"
-    )
+    rows = literal_rows(df.sparkSession, list(entries.items()), [key, target])
     mapped = F.coalesce(F.col(f"`{target}`"), F.col(f"`{column}`"))
     return (
         df.join(rows, df[f"`{column}`"] == rows[f"`{key}`"], "left")

@@ -23,7 +23,11 @@ def bronze_documents(spark: SparkSession, config: Mapping[str, Any]) -> DataFram
     """The configured folder's files as Bronze rows, batch or stream by its mode."""
     source = section(config, "source")
     files = read_binary(
-        spark, section(source, "path"), source.get("mode") or BATCH, source.get("path_glob_filter")
+        spark,
+        section(source, "path"),
+        source.get("mode") or BATCH,
+        source.get("path_glob_filter"),
+        source.get("max_files_per_trigger"),
     )
     return to_bronze(files)
 

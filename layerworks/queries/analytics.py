@@ -16,6 +16,7 @@ from layerworks.operators.summaries import (
 from layerworks.plans.tables import append_table, overwrite_table
 from layerworks.queries.inputs import detach, fresh_name, table
 from layerworks.session import scratch_path
+from layerworks.sources.literals import literal_rows
 
 
 def filter_project(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,9 +56,10 @@ def join_dimension(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def join_literal_rows(spark: SparkSession, folder: str) -> DataFrame:
-    departments = spark.createDataFrame(
+    departments = literal_rows(
+        spark,
         [("AUTOMOBILE", "Tokyo"), ("BUILDING", "Osaka"), ("MACHINERY", "Tokyo")],
-        "c_mktsegment string, location string",
+        ["c_mktsegment", "location"],
     )
     joined = with_dimension(table(spark, folder, "customer"), departments, "c_mktsegment")
     return joined.select("c_custkey", "c_mktsegment", "location")

@@ -36,7 +36,7 @@ def _extracted(bronze: DataFrame) -> DataFrame:
     part = F.regexp_extract("file_path", "/part=(\\d+)/", 1).cast("long")
     return add_extracted_text(bronze, types=TYPES).select(
         part.alias("part"),
-        F.octet_length("binary_content").alias("n_bytes"),
+        F.octet_length("binary_content").cast("long").alias("n_bytes"),
         "source_type",
         "extracted_text",
         "_corrupt",

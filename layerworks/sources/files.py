@@ -49,12 +49,14 @@ def read_binary(
     source_path: str,
     mode: str = BATCH,
     path_glob_filter: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Read a folder in the mode its configuration names."""
-    readers = {BATCH: read_binary_batch, INCREMENTAL: read_binary_stream}
-    if mode not in readers:
-        raise ValueError(f"unknown ingest mode {mode!r}; known modes: {', '.join(INGEST_MODES)}")
-    return readers[mode](spark, source_path, path_glob_filter)
+    if mode == BATCH:
+        return read_binary_batch(spark, source_path, path_glob_filter)
+    if mode == INCREMENTAL:
+        return read_binary_stream(spark, source_path, path_glob_filter, max_files_per_trigger)
+    raise ValueError(f"unknown ingest mode {mode!r}; known modes: {', '.join(INGEST_MODES)}")
 
 
 def to_bronze(files: DataFrame) -> DataFrame:

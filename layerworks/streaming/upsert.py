@@ -38,6 +38,11 @@ class VersionedTable:
         if number >= 0:
             drop_table(spark, self.version(number))
 
+    def refresh(self, spark: SparkSession) -> None:
+        """Make a session forget what it remembers of files since replaced."""
+        for row in spark.sql(f"SHOW TABLES LIKE '{self.name}_v*'").collect():
+            spark.catalog.refreshTable(f"{row.namespace}.{row.tableName}")
+
 
 def upsert_stream(
     changes: DataFrame,
@@ -66,4 +71,6 @@ def upsert_stream(
         .start()
     )
     query.awaitTermination()
+    # Batches run in a session of their own; the caller's must see what they wrote.
+    table.refresh(changes.sparkSession)
     return query
