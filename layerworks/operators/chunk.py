@@ -1,13 +1,12 @@
 """Splitting document text into chunks, and the chunk table.
 
-Both splitters work inside their row, as Column expressions: no shuffle, no Python.
-They are written to stay usable on documents of many megabytes.
+Both splitters are sequential, so each is a fold inside its row: Column expressions,
+no shuffle, no Python, and usable on documents of many megabytes.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -30,21 +29,43 @@ GOLD_COLUMNS = (
 _HEADING_AHEAD = f"\\n(?=#{{1,6}}[{INLINE_SPACE}])"
 _BLANK_LINES = f"\\n[{WHITESPACE}]*\\n"
 _GAP = "\n\n"
-_BLOCK = 256
+_BLOCK = 128
 
 
 def _strings() -> Column:
     return F.array().cast("array<string>")
 
 
-def _blocks(items: Column) -> Column:
-    """The items in runs of ``_BLOCK``.
+def _fold_chunks(
+    items: Column,
+    carried: Mapping[str, Column],
+    extend: Callable[[Column, Column], Column],
+    finish: Callable[[Column], Column],
+) -> Column:
+    """Fold items into ``chunks`` and what is carried from item to item.
 
-    A fold copies its state at each step.  Folding run by run copies what a long
-    document has given so far once per run, not once per item.
+    A fold copies its whole state at each step.  So that a long document does not
+    copy all its chunks with every item, items are folded in runs of ``_BLOCK``,
+    and the chunks of a run are added to those before it at its end.
     """
-    starts = F.sequence(F.lit(0), F.size(items) - 1, F.lit(_BLOCK))
-    return F.transform(starts, lambda start: F.slice(items, start + 1, F.lit(_BLOCK)))
+
+    def state(chunks: Column, source: Column | None = None) -> Column:
+        values = [source[name] if source is not None else carried[name] for name in carried]
+        named = [value.alias(name) for name, value in zip(carried, values, strict=True)]
+        return F.struct(chunks.alias("chunks"), *named)
+
+    def fold_block(before: Column, block: Column) -> Column:
+        return bind(
+            F.aggregate(block, state(_strings(), before), extend),
+            lambda after: state(F.concat(before.chunks, after.chunks), after),
+        )
+
+    def blocks(items: Column) -> Column:
+        last = F.greatest(F.size(items) - 1, F.lit(0))
+        starts = F.sequence(F.lit(0), last, F.lit(_BLOCK))
+        return F.transform(starts, lambda start: F.slice(items, start + 1, F.lit(_BLOCK)))
+
+    return F.aggregate(bind(items, blocks), state(_strings()), fold_block, finish)
 
 
 def _section(text: Column) -> Column:
@@ -87,85 +108,57 @@ def heading_chunks(text: Column) -> Column:
         ).otherwise(state.chunks)
         return F.struct(chunks.alias("chunks"), path.alias("path"))
 
-    def extend_block(state: Column, block: Column) -> Column:
-        opened = F.struct(_strings().alias("chunks"), state.path.alias("path"))
-        return bind(
-            F.aggregate(F.transform(block, _section), opened, extend),
-            lambda closed: F.struct(
-                F.concat(state.chunks, closed.chunks).alias("chunks"),
-                closed.path.alias("path"),
-            ),
-        )
-
-    return F.aggregate(
-        bind(sections, _blocks),
-        F.struct(_strings().alias("chunks"), _strings().alias("path")),
-        extend_block,
+    return _fold_chunks(
+        F.transform(sections, _section),
+        {"path": _strings()},
+        extend,
         lambda state: state.chunks,
     )
 
 
-def _packed(room: int) -> str:
-    """Pattern for the paragraphs one chunk packs: as many as fit, at least one."""
-    longest = f".{{1,{room}}}|" if room > 0 else ""
-    return f"(?:{longest}.+?)(?=\\n\\n|\\z)"
-
-
-def _lookback(room: int, overlap: int) -> int:
-    """How many of the preceding chunks' own texts surely hold ``overlap`` characters.
-
-    An own text has a character and the blank line before it; two neighbours are
-    longer than ``room`` together, else the second's first paragraph would have
-    gone into the first.
-    """
-    chunks = math.ceil((overlap + len(_GAP)) / (len(_GAP) + 1))
-    if room > 0:
-        chunks = min(chunks, 2 * math.ceil(overlap / (room + 1)))
-    return chunks
-
-
 def paragraph_chunks(text: Column, max_chars: int = 1000, overlap: int = 100) -> Column:
     """Pack paragraphs greedily; each chunk but the first opens with the end of the last.
 
     ``max_chars`` bounds what is packed together; a longer paragraph stays whole.
-
-    Once the paragraphs are joined by blank lines into one text, every chunk is a
-    piece of it: its own paragraphs, preceded by the last ``overlap`` characters
-    before them.  The first chunk packs up to ``max_chars`` characters, a later one
-    what the overlap and a blank line leave of them.  (A chunk after fewer than
-    ``overlap`` characters opens with a paragraph too long to have joined them, so
-    that bound holds for it too.)  One pattern thus finds what each chunk packs in
-    a single pass, which stays linear however long the document is.
     """
     if max_chars < 0 or overlap < 0:
         raise ValueError(f"negative chunk size: max_chars={max_chars}, overlap={overlap}")
-    room = max_chars - overlap - len(_GAP)
-    pattern = f"(?s)\\A{_packed(max_chars)}|\\G\\n\\n{_packed(room)}"
-    lookback = _lookback(room, overlap) if overlap else 0
-
-    def with_overlap(packs: Column) -> Column:
-        def chunk(own: Column, position: Column) -> Column:
-            before = [
-                F.coalesce(F.get(packs, position - distance), F.lit(""))
-                for distance in range(lookback, 0, -1)
-            ]
-            carried = F.right(F.concat(*before), F.lit(overlap)) if before else F.lit("")
-            return strip(F.concat(carried, own))
-
-        return F.transform(packs, chunk)
-
-    def split(joined: Column) -> Column:
+    paragraphs = F.filter(
+        F.transform(F.split(F.coalesce(text, F.lit("")), _BLANK_LINES), strip),
+        lambda paragraph: paragraph != "",
+    )
+
+    def state(chunks: Column, current: Column, size: Column) -> Column:
+        return F.struct(chunks.alias("chunks"), current.alias("current"), size.alias("size"))
+
+    def closed(state: Column) -> Column:
+        return F.concat(state.chunks, F.array(strip(state.current)))
+
+    def extend(open_: Column, paragraph: Column) -> Column:
+        # The size is carried along, as counting characters means reading them.
+        length = F.length(paragraph)
+        grown = open_.size + len(_GAP) + length
+        overlapped = F.concat(F.right(open_.current, F.lit(overlap)), F.lit(_GAP), paragraph)
         return (
-            F.when(joined == "", _strings())
-            .when(F.length(joined) <= max_chars, F.array(joined))
+            F.when(open_.current == "", state(open_.chunks, paragraph, length))
+            .when(
+                grown > max_chars,
+                state(
+                    closed(open_),
+                    overlapped,
+                    F.least(open_.size, F.lit(overlap)) + len(_GAP) + length,
+                ),
+            )
             .otherwise(
-                bind(F.regexp_extract_all(joined, F.lit(pattern), F.lit(0)), with_overlap)
+                state(open_.chunks, F.concat(open_.current, F.lit(_GAP), paragraph), grown)
             )
         )
 
-    paragraphs = F.transform(F.split(F.coalesce(text, F.lit("")), _BLANK_LINES), strip)
-    return bind(
-        F.array_join(F.filter(paragraphs, lambda paragraph: paragraph != ""), _GAP), split
+    return _fold_chunks(
+        paragraphs,
+        {"current": F.lit(""), "size": F.lit(0)},
+        extend,
+        lambda state: F.when(state.current != "", closed(state)).otherwise(state.chunks),
     )
 
 

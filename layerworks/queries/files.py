@@ -13,7 +13,7 @@ from layerworks.session import scratch_path
 from layerworks.sources.files import BATCH, INCREMENTAL, read_binary, to_bronze
 
 # Documents per file: some, as a file each would leave a cluster with tiny files.
-PER_FILE = 64
+PER_FILE = 128
 
 # Spark's text writer names its files so; they hold Markdown.
 TYPES = {".txt": "md"}

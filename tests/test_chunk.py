@@ -36,11 +36,13 @@ def test_chunkers_equal_the_models(spark, values):
 
 
 def test_folding_in_blocks_changes_nothing(spark, monkeypatch):
-    text = "".join(f"{'#' * (i % 6 + 1)} t{i}\nbody {i}\n" for i in range(40))
-    for size in (1, 3, 256):
+    text = "".join(f"{'#' * (i % 6 + 1)} t{i}\n\nbody {i}\n\n" for i in range(40))
+    for size in (1, 3, 128):
         monkeypatch.setattr(chunk, "_BLOCK", size)
-        ((got,),) = chunks_of(spark, [text], heading_chunks(F.col("t")))
-        assert got == models.by_heading(text)
+        columns = heading_chunks(F.col("t")), paragraph_chunks(F.col("t"), 30, 7)
+        ((headed, packed),) = chunks_of(spark, [text], *columns)
+        assert headed == models.by_heading(text)
+        assert packed == models.by_paragraph(text, 30, 7)
 
 
 def test_skipped_levels_nest_under_the_heading_above(spark):
