@@ -50,5 +50,3 @@ from layerworks.plans.tables import append_stream, append_table, drop_table, ove
 from layerworks.sources.files import read_binary, read_binary_batch, read_binary_stream, to_bronze
 from layerworks.sources.records import add_ingest_metadata, read_source
 from layerworks.streaming.upsert import VersionedTable, upsert_stream
-
-__all__ = [name for name in dir() if not name.startswith("_")]

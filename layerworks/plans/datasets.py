@@ -50,24 +50,28 @@ def streaming_table(
     return Dataset(name, build, comment, tuple(expectations), checkpoint)
 
 
-def publish(spark: SparkSession, dataset: Dataset) -> dict[str, int]:
+def publish(spark: SparkSession, dataset: Dataset, folder: str | None = None) -> dict[str, int]:
     """Build and write one dataset; returns its row count and failures by expectation.
 
+    With ``folder`` the table's files are kept there, else in the warehouse.
+
     A streaming table drops what must be dropped but returns no counts: its run may
     take several micro-batches.
     """
     df = dataset.build(spark)
+    path = f"{folder.rstrip('/')}/{dataset.name}" if folder else None
     if dataset.checkpoint is not None:
-        append_stream(
-            apply_expectations(df, dataset.expectations), dataset.name, dataset.checkpoint
-        )
+        checked = apply_expectations(df, dataset.expectations)
+        append_stream(checked, dataset.name, dataset.checkpoint, path)
         return {}
     observation = Observation()
     checked = apply_expectations(df, dataset.expectations, observation)
-    overwrite_table(checked, dataset.name, dataset.comment)
+    overwrite_table(checked, dataset.name, dataset.comment, path)
     return observation.get
 
 
-def publish_all(spark: SparkSession, datasets: Iterable[Dataset]) -> dict[str, dict[str, int]]:
+def publish_all(
+    spark: SparkSession, datasets: Iterable[Dataset], folder: str | None = None
+) -> dict[str, dict[str, int]]:
     """Publish datasets in order; one may read those before it by name."""
-    return {dataset.name: publish(spark, dataset) for dataset in datasets}
+    return {dataset.name: publish(spark, dataset, folder) for dataset in datasets}

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from layerworks.config import section
+from layerworks.functions.ids import SOURCE_TYPES
 from layerworks.operators.chunk import to_gold_chunks
 from layerworks.operators.extract import Parser, add_extracted_text, to_silver
 from layerworks.operators.quality import expect_or_drop
@@ -45,19 +46,30 @@ def ingest_documents(
     return spark.table(table)
 
 
-def silver_documents(bronze: DataFrame, parsers: Mapping[str, Parser] | None = None) -> DataFrame:
+def silver_documents(
+    bronze: DataFrame,
+    parsers: Mapping[str, Parser] | None = None,
+    types: Mapping[str, str] = SOURCE_TYPES,
+) -> DataFrame:
     """Extracted, cleaned, masked and deduplicated documents."""
-    return to_silver(add_extracted_text(bronze, parsers))
+    return to_silver(add_extracted_text(bronze, parsers, types))
 
 
 def document_datasets(
     config: Mapping[str, Any],
     checkpoint: str | None = None,
     parsers: Mapping[str, Parser] | None = None,
+    types: Mapping[str, str] = SOURCE_TYPES,
+    prefix: str = "",
 ) -> list[Dataset]:
-    """The three layers as declared datasets; Bronze's kind follows the ingest mode."""
+    """The three layers as declared datasets; Bronze's kind follows the ingest mode.
+
+    ``prefix`` goes before every name, to choose a schema for instance.
+    """
     mode = section(config, "source").get("mode") or BATCH
     comment = f"raw document files ({mode})"
+    names = [f"{prefix}{name}" for name in ("bronze_docs", "silver_docs", "gold_chunks")]
+    bronze_name, silver_name, gold_name = names
 
     def build(spark: SparkSession) -> DataFrame:
         return bronze_documents(spark, config)
@@ -65,20 +77,20 @@ def document_datasets(
     if mode == INCREMENTAL:
         if checkpoint is None:
             raise ValueError(f"mode {INCREMENTAL!r} needs a checkpoint")
-        bronze = streaming_table("bronze_docs", build, checkpoint, comment)
+        bronze = streaming_table(bronze_name, build, checkpoint, comment)
     else:
-        bronze = materialized_view("bronze_docs", build, comment)
+        bronze = materialized_view(bronze_name, build, comment)
     return [
         bronze,
         materialized_view(
-            "silver_docs",
-            lambda spark: silver_documents(spark.table("bronze_docs"), parsers),
+            silver_name,
+            lambda spark: silver_documents(spark.table(bronze_name), parsers, types),
             "document text, cleaned and masked",
             [HAS_TEXT],
         ),
         materialized_view(
-            "gold_chunks",
-            lambda spark: to_gold_chunks(spark.table("silver_docs"), config),
+            gold_name,
+            lambda spark: to_gold_chunks(spark.table(silver_name), config),
             "document chunks with access attributes",
         ),
     ]

@@ -50,35 +50,35 @@ def feed_expectations(config: Mapping[str, Any]) -> list[Expectation]:
     return [VALID_ID, HAS_SALARY, *([HAS_JOIN_DATE] if parsed else [])]
 
 
-def feed_datasets(configs: Iterable[Mapping[str, Any]], target: str = "silver_cdm") -> list[Dataset]:
-    """Bronze and Silver of every client, and their union, as declared datasets."""
-    configs = list(configs)
-    datasets = []
+def feed_datasets(
+    configs: Iterable[Mapping[str, Any]], target: str = "silver_cdm", prefix: str = ""
+) -> list[Dataset]:
+    """Bronze and Silver of every client, and their union, as declared datasets.
+
+    ``prefix`` goes before every name, to choose a schema for instance.
+    """
+    datasets, models = [], []
     for config in configs:
         client, label = section(config, "client_id"), config.get("client_name", "")
-        datasets.append(
-            materialized_view(
-                f"bronze_{client}",
-                lambda spark, config=config: read_bronze(spark, config),
-                f"{label} raw records",
-            )
-        )
-        datasets.append(
-            materialized_view(
-                f"silver_{client}",
-                lambda spark, config=config, client=client: to_common_model(
-                    clean_bronze(spark, f"bronze_{client}"), config
-                ),
-                f"{label} in the common model",
-                feed_expectations(config),
-            )
-        )
-    tables = [f"silver_{config['client_id']}" for config in configs]
-    datasets.append(
-        materialized_view(
-            target,
-            lambda spark: union_clients([spark.table(table) for table in tables]),
-            "common model of all clients",
-        )
+        bronze, silver = f"{prefix}bronze_{client}", f"{prefix}silver_{client}"
+        datasets += [_bronze_dataset(bronze, config, label), _silver_dataset(silver, bronze, config, label)]
+        models.append(silver)
+    union = materialized_view(
+        f"{prefix}{target}",
+        lambda spark: union_clients([spark.table(model) for model in models]),
+        "common model of all clients",
+    )
+    return [*datasets, union]
+
+
+def _bronze_dataset(name: str, config: Mapping[str, Any], label: str) -> Dataset:
+    return materialized_view(name, lambda spark: read_bronze(spark, config), f"{label} raw records")
+
+
+def _silver_dataset(name: str, bronze: str, config: Mapping[str, Any], label: str) -> Dataset:
+    return materialized_view(
+        name,
+        lambda spark: to_common_model(clean_bronze(spark, bronze), config),
+        f"{label} in the common model",
+        feed_expectations(config),
     )
-    return datasets

@@ -19,6 +19,7 @@ from layerworks.operators.extract import (
 from layerworks.queries import sql
 from layerworks.queries.inputs import table
 
+# Chunking strategies by type, and access attributes.
 CONFIG: dict[str, Any] = {
     "chunking": {
         "md": {"strategy": "markdown_header"},

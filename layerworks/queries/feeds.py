@@ -17,7 +17,8 @@ from layerworks.operators.quality import (
 from layerworks.operators.quality import ingest_metrics as count_records
 from layerworks.operators.rules import apply_rules, to_common_model, union_clients
 from layerworks.operators.summaries import count_by
-from layerworks.plans.feeds import HAS_JOIN_DATE, HAS_SALARY, VALID_ID
+from layerworks.plans.datasets import publish_all
+from layerworks.plans.feeds import HAS_JOIN_DATE, HAS_SALARY, VALID_ID, feed_datasets
 from layerworks.plans.tables import overwrite_table
 from layerworks.queries.inputs import detach, fresh_name, table
 from layerworks.session import scratch_path
@@ -39,6 +40,7 @@ schema:
     - {name: segment, type: string, nullable: true}
 """
 
+# The two clients' schemas, column names, rules and roles.
 CLIENT_A = """
 client_id: company_a
 client_name: Company A
@@ -222,17 +224,33 @@ def cdm_union(spark: SparkSession, folder: str) -> DataFrame:
     return _model(spark, folder)
 
 
+def _with_files(spark: SparkSession, rows: DataFrame, config: dict[str, Any]) -> dict[str, Any]:
+    """Write a client's rows as its files; gives the configuration that points at them."""
+    path = scratch_path(spark, f"{config['client_id']}_files")
+    rows.write.csv(path, header=True)
+    return {**config, "source": {**config["source"], "path": path}}
+
+
 def _from_files(spark: SparkSession, rows: DataFrame, config: dict[str, Any]) -> DataFrame:
     """A client's rows written as its files, ingested to Bronze, and its common model."""
-    label = config["client_id"]
-    path = scratch_path(spark, f"{label}_files")
-    rows.write.csv(path, header=True)
-    located = {**config, "source": {**config["source"], "path": path}}
-    name = fresh_name(f"bronze_{label}")
+    located = _with_files(spark, rows, config)
+    name = fresh_name(f"bronze_{config['client_id']}")
     overwrite_table(read_bronze(spark, located), name, path=scratch_path(spark, name))
     return to_common_model(well_formed(detach(spark, name)), config)
 
 
+def published_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Both clients from their files to the common model, as declared datasets."""
+    configs = [
+        _with_files(spark, _client_a(spark, folder), parse_yaml_config(CLIENT_A)),
+        _with_files(spark, _client_b(spark, folder), parse_yaml_config(CLIENT_B)),
+    ]
+    datasets = feed_datasets(configs, prefix=fresh_name("feeds") + "_")
+    publish_all(spark, datasets, scratch_path(spark, "published_feeds"))
+    tables = [detach(spark, dataset.name) for dataset in datasets]
+    return tables[-1].select(MODEL)
+
+
 def cdm_from_files(spark: SparkSession, folder: str) -> DataFrame:
     clients = [
         _from_files(spark, _client_a(spark, folder), parse_yaml_config(CLIENT_A)),
@@ -267,6 +285,7 @@ QUERIES = {
     "rule_mapping_long": rule_mapping_long,
     "cdm_union": cdm_union,
     "cdm_from_files": cdm_from_files,
+    "published_feeds": published_feeds,
     "cdm_counts": cdm_counts,
     "expect_metrics": expect_metrics,
     "expect_or_drop": expect_or_drop,
@@ -333,6 +352,7 @@ ORACLES = {
     """,
     "cdm_union": f"{_MODEL} SELECT * FROM model",
     "cdm_from_files": f"{_MODEL} SELECT * FROM model",
+    "published_feeds": f"{_MODEL} SELECT * FROM model WHERE employee_id IS NOT NULL",
     "cdm_counts": f"""{_MODEL}
         SELECT source_client, department, count(*) AS count FROM model GROUP BY ALL
     """,

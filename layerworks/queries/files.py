@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerworks.operators.extract import add_extracted_text
+from layerworks.plans.datasets import publish_all
+from layerworks.plans.documents import document_datasets
 from layerworks.plans.tables import append_stream, overwrite_table
 from layerworks.queries import sql
+from layerworks.queries.documents import CONFIG
 from layerworks.queries.inputs import detach, fresh_name, table
 from layerworks.session import scratch_path
 from layerworks.sources.files import BATCH, INCREMENTAL, read_binary, to_bronze
@@ -32,10 +35,14 @@ def _write_files(documents: DataFrame, path: str) -> None:
     )
 
 
+def _part(path: Column) -> Column:
+    """The group of ids in a file, from the name of its folder."""
+    return F.regexp_extract(path, "/part=(\\d+)/", 1).cast("long")
+
+
 def _extracted(bronze: DataFrame) -> DataFrame:
-    part = F.regexp_extract("file_path", "/part=(\\d+)/", 1).cast("long")
     return add_extracted_text(bronze, types=TYPES).select(
-        part.alias("part"),
+        _part(F.col("file_path")).alias("part"),
         F.octet_length("binary_content").cast("long").alias("n_bytes"),
         "source_type",
         "extracted_text",
@@ -66,20 +73,50 @@ def ingest_files_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _extracted(detach(spark, name))
 
 
+def published_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """From files to chunks, as declared datasets over a stream of files."""
+    path = scratch_path(spark, "files")
+    _write_files(table(spark, folder, "documents"), path)
+    config = {**CONFIG, "source": {"path": path, "mode": INCREMENTAL, "path_glob_filter": "*.txt"}}
+    datasets = document_datasets(
+        config, scratch_path(spark, "checkpoint"), types=TYPES, prefix=fresh_name("docs") + "_"
+    )
+    publish_all(spark, datasets, scratch_path(spark, "published_documents"))
+    _, silver, gold = (detach(spark, dataset.name) for dataset in datasets)
+    parts = silver.select("document_id", _part(F.col("metadata")["file_path"]).alias("part"))
+    return gold.join(parts, "document_id").select(
+        "part", "chunk_index", "chunk_text", "allowed_roles", "department"
+    )
+
+
 QUERIES = {
     "ingest_files_batch": ingest_files_batch,
     "ingest_files_stream": ingest_files_stream,
+    "published_documents": published_documents,
 }
 
-_FILES = f"""
+_PARTS = f"""
     WITH files AS (
         SELECT doc_id // {PER_FILE} AS part,
                string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS text
         FROM documents GROUP BY doc_id // {PER_FILE}
     )
+"""
+
+_FILES = f"""{_PARTS}
     SELECT part, strlen(text) AS n_bytes, 'md' AS source_type,
            {sql.redact(sql.clean("text"))} AS extracted_text, CAST(NULL AS VARCHAR) AS _corrupt
     FROM files
 """
 
-ORACLES = {"ingest_files_batch": _FILES, "ingest_files_stream": _FILES}
+ORACLES = {
+    "ingest_files_batch": _FILES,
+    "ingest_files_stream": _FILES,
+    "published_documents": f"""{_PARTS}, prepared AS (
+            SELECT part AS id, {sql.redact(sql.clean("text"))} AS text FROM files
+        ), {sql.heading_chunks("prepared")}
+        SELECT id AS part, chunk_index, chunk_text, 'analyst,manager' AS allowed_roles,
+               'engineering' AS department
+        FROM heading_chunks
+    """,
+}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +18,17 @@ INGEST_MODES = (BATCH, INCREMENTAL)
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def _given(**options: Any) -> dict[str, Any]:
+    """The reader options that have a value."""
+    return {name: value for name, value in options.items() if value}
+
+
 def read_binary_batch(
     spark: SparkSession, source_path: str, path_glob_filter: str | None = None
 ) -> DataFrame:
     """All files of a folder; contents are read only if the column is used."""
-    reader = spark.read.format("binaryFile")
-    if path_glob_filter:
-        reader = reader.option("pathGlobFilter", path_glob_filter)
-    return reader.load(source_path)
+    options = _given(pathGlobFilter=path_glob_filter)
+    return spark.read.load(source_path, format="binaryFile", **options)
 
 
 def read_binary_stream(
@@ -36,12 +41,8 @@ def read_binary_stream(
 
     ``max_files_per_trigger`` bounds a micro-batch when a backlog is large.
     """
-    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
-    if path_glob_filter:
-        reader = reader.option("pathGlobFilter", path_glob_filter)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(source_path)
+    options = _given(pathGlobFilter=path_glob_filter, maxFilesPerTrigger=max_files_per_trigger)
+    return spark.readStream.load(source_path, format="binaryFile", schema=FILE_SCHEMA, **options)
 
 
 def read_binary(
