@@ -16,7 +16,8 @@ class VersionedTable:
 
     A plain file table cannot be overwritten while it is read.  Each change writes
     the next version and then points the view at it, so a reader sees one version
-    or the other.  With ``folder`` the versions are kept there.
+    or the other.  ``write(rows, 0)`` starts the table.  With ``folder`` the files
+    of the versions are kept there, else in the warehouse.
     """
 
     def __init__(self, name: str, folder: str | None = None) -> None:
@@ -40,8 +41,10 @@ class VersionedTable:
 
     def refresh(self, spark: SparkSession) -> None:
         """Make a session forget what it remembers of files since replaced."""
-        for row in spark.sql(f"SHOW TABLES LIKE '{self.name}_v*'").collect():
-            spark.catalog.refreshTable(f"{row.namespace}.{row.tableName}")
+        schema, _, table = self.name.rpartition(".")
+        where = f"IN {schema} " if schema else ""
+        for row in spark.sql(f"SHOW TABLES {where}LIKE '{table}_v*'").collect():
+            spark.catalog.refreshTable(f"{schema}.{row.tableName}" if schema else row.tableName)
 
 
 def upsert_stream(

@@ -160,10 +160,10 @@ def test_rules_turn_bad_values_into_null(spark):
     got = rules.apply_rules(df, {"v": [{"strip_chars": "¥,"}, {"cast": "integer"}]})
     assert got.schema["v"].dataType == IntegerType()
     assert [row.v for row in got.collect()] == [1200, 12, None, None, None, None, None]
-    dates = ["2020/04/01", "2020-04-01", "2020/13/01", "invalid", None]
+    dates = ["2020/04/01", "2020-04-01", "2020/13/01", "invalid", None, "2020/4/1", "2021/02/29"]
     df = spark.createDataFrame([(v,) for v in dates], "v string")
     got = rules.apply_rules(df, {"v": {"date_format": "yyyy/MM/dd"}})
-    assert [str(row.v) for row in got.collect()] == ["2020-04-01", "None", "None", "None", "None"]
+    assert [str(row.v) for row in got.collect()] == ["2020-04-01"] + ["None"] * 6
 
 
 @pytest.mark.parametrize("limit", [200, 1])

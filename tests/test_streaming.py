@@ -88,6 +88,18 @@ def test_a_batch_run_again_writes_the_same_version(spark, tmp_path, target):
     assert rows(spark, target) == [(1, "x", 5), (2, "old", 0)]
 
 
+def test_versions_in_a_named_schema(spark, tmp_path):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS versions_test")
+    table = VersionedTable("versions_test.target", str(tmp_path / "data"))
+    table.write(spark.createDataFrame([(1, "old", 0)], "k int, v string, t int"), 0)
+    folder = str(tmp_path / "events")
+    write_events(spark, folder, [(1, "x", 5)])
+    stream = spark.readStream.schema("k int, v string, t int").parquet(folder)
+    upsert_stream(stream, table, ["k"], ["t"], str(tmp_path / "checkpoint"))
+    assert rows(spark, table) == [(1, "x", 5)]
+    spark.sql("DROP SCHEMA versions_test CASCADE")
+
+
 def test_ingest_time_is_one_per_batch(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"{i}.md").write_text("x")
