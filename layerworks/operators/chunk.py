@@ -154,12 +154,21 @@ def paragraph_chunks(text: Column, max_chars: int = 1000, overlap: int = 100) ->
             )
         )
 
-    return _fold_chunks(
-        paragraphs,
-        {"current": F.lit(""), "size": F.lit(0)},
-        extend,
-        lambda state: F.when(state.current != "", closed(state)).otherwise(state.chunks),
-    )
+    def pack(paragraphs: Column) -> Column:
+        folded = _fold_chunks(
+            paragraphs,
+            {"current": F.lit(""), "size": F.lit(0)},
+            extend,
+            lambda state: F.when(state.current != "", closed(state)).otherwise(state.chunks),
+        )
+        # What fits one chunk as it is fits it with its gaps narrowed.
+        return (
+            F.when(F.size(paragraphs) == 0, _strings())
+            .when(F.length(text) <= max_chars, F.array(F.array_join(paragraphs, _GAP)))
+            .otherwise(folded)
+        )
+
+    return bind(paragraphs, pack)
 
 
 def chunk_text(text: Column, source_type: Column, config: Mapping[str, Any]) -> Column:

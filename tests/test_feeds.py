@@ -179,3 +179,26 @@ def test_rules_apply_in_the_order_given(spark):
     df = spark.createDataFrame([("x-1",), ("x-2",)], "v string")
     steps = [{"strip_chars": "-"}, {"mapping": {"x1": "7"}}, {"cast": "integer"}]
     assert [row.v for row in rules.apply_rules(df, {"v": steps}).collect()] == [7, None]
+
+
+def test_other_record_formats(spark, tmp_path, table_names):
+    (tmp_path / "r.json").write_text('{"k": 1, "v": "a"}\n{"k": "x", "v": "b"}\nnot json\n')
+    text = """
+    client_id: c
+    source: {file_format: json, path: "%s"}
+    schema:
+      type: struct
+      fields:
+        - {name: k, type: long, nullable: true}
+        - {name: v, type: string, nullable: true}
+    """
+    config = parse_yaml_config(text % (tmp_path / "r.json"))
+    table = overwrite_table(read_bronze(spark, config), table_names("json"))
+    assert sorted((tuple(r)[:3] for r in table.collect()), key=str) == sorted(
+        [(1, "a", None), (None, "b", '{"k": "x", "v": "b"}'), (None, None, "not json")], key=str
+    )
+    (tmp_path / "t.tsv").write_text("1\ta\n2\tb\n")
+    config["source"] = {
+        "file_format": "csv", "path": str(tmp_path / "t.tsv"), "options": {"sep": "\t"},
+    }
+    assert [tuple(r)[:2] for r in read_bronze(spark, config).collect()] == [(1, "a"), (2, "b")]
