@@ -123,10 +123,6 @@ def paragraph_chunks(text: Column, max_chars: int = 1000, overlap: int = 100) ->
     """
     if max_chars < 0 or overlap < 0:
         raise ValueError(f"negative chunk size: max_chars={max_chars}, overlap={overlap}")
-    paragraphs = F.filter(
-        F.transform(F.split(F.coalesce(text, F.lit("")), _BLANK_LINES), strip),
-        lambda paragraph: paragraph != "",
-    )
 
     def state(chunks: Column, current: Column, size: Column) -> Column:
         return F.struct(chunks.alias("chunks"), current.alias("current"), size.alias("size"))
@@ -154,7 +150,7 @@ def paragraph_chunks(text: Column, max_chars: int = 1000, overlap: int = 100) ->
             )
         )
 
-    def pack(paragraphs: Column) -> Column:
+    def pack(text: Column, paragraphs: Column) -> Column:
         folded = _fold_chunks(
             paragraphs,
             {"current": F.lit(""), "size": F.lit(0)},
@@ -168,7 +164,12 @@ def paragraph_chunks(text: Column, max_chars: int = 1000, overlap: int = 100) ->
             .otherwise(folded)
         )
 
-    return bind(paragraphs, pack)
+    def split(text: Column) -> Column:
+        parts = F.transform(F.split(text, _BLANK_LINES), strip)
+        paragraphs = F.filter(parts, lambda paragraph: paragraph != "")
+        return bind(paragraphs, lambda paragraphs: pack(text, paragraphs))
+
+    return bind(F.coalesce(text, F.lit("")), split)
 
 
 def chunk_text(text: Column, source_type: Column, config: Mapping[str, Any]) -> Column:

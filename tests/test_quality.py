@@ -9,6 +9,7 @@ from layerworks.operators.quality import (
     expectation_metrics,
     not_null_expectations,
 )
+from layerworks.plans.datasets import materialized_view, publish
 
 RULES = [expect_or_drop("has_id", "id IS NOT NULL"), expect("positive", "v > 0")]
 
@@ -36,6 +37,15 @@ def test_warnings_alone_keep_every_row(rows):
     assert apply_expectations(rows, RULES[1:]).count() == 4
 
 
+def test_publishing_no_rows(spark, tmp_path, table_names):
+    name = table_names("none")
+    dataset = materialized_view(
+        name, lambda spark: spark.createDataFrame([], "id int, v int"), "", RULES
+    )
+    assert publish(spark, dataset, str(tmp_path)) == {"rows": 0, "has_id": 0, "positive": 0}
+    assert spark.table(name).count() == 0
+
+
 def test_expectations_from_a_schema(spark, rows):
     schema = StructType([StructField("id", StringType(), False), StructField("v", StringType())])
     (expectation,) = not_null_expectations(schema)
