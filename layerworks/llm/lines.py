@@ -47,23 +47,48 @@ def _char_hash(char: Column) -> Column:
     return F.xxhash64(char).bitwiseAND((1 << 40) - 1)
 
 
-def _variant_keys(line: Column, role: int) -> Column:
-    """Keys of the variants of a line's rest in a role, bound to the shared half."""
-    longer, side = _ROLES[role]
-    length = F.length(line) - longer
-    rest = _rest(line, length, side)
-    half = _half_key(line, role)
-    size = F.length(rest)
-    places = F.sequence(F.lit(1), F.greatest(size, F.lit(1)))
-    exact = F.transform(places, lambda i: F.xxhash64(half, F.concat(F.left(rest, i - 1), F.substr(rest, i + 1))))
-    chars = F.split(rest, "")
-    total = F.aggregate(chars, F.lit(0).cast("long"), lambda acc, c: acc + _char_hash(c))
-    summed = F.transform(F.array_distinct(chars), lambda c: F.xxhash64(half, size - 1, total - _char_hash(c)))
-    whole = F.when(size <= EXACT_CHARS, F.xxhash64(half, rest)).otherwise(F.xxhash64(half, size, total))
-    # A longer line's rest may pass the limit that the shorter one's keeps: both forms at the edge.
-    edge = F.when(size == EXACT_CHARS + 1, F.concat(exact, summed)).when(size <= EXACT_CHARS, exact).otherwise(summed)
-    keys = edge if longer else F.concat(F.array(whole), edge)
-    return F.array_distinct(keys)
+def _with_variant_keys(lines: DataFrame) -> DataFrame:
+    """Explode the keys of the variants of each line's rest in its role, bound to the shared half."""
+    line, first = F.col("line"), F.col("role") % 2 == 0
+    length = F.length(line) - F.when(F.col("role") >= 2, 1).otherwise(0)
+    parts = lines.withColumn("length", length).select(
+        "*",
+        F.when(first, _half(line, F.col("length"), "first")).otherwise(_half(line, F.col("length"), "last")).alias("half"),
+        F.when(first, _rest(line, F.col("length"), "first")).otherwise(_rest(line, F.col("length"), "last")).alias("rest"),
+    )
+    parts = parts.select(
+        "k1", "k2", "role", "rest", F.length("rest").alias("size"), F.xxhash64("length", F.col("role") % 2, "half").alias("bound")
+    ).withColumn("chars", F.when(F.col("size") > EXACT_CHARS, F.split("rest", "")).otherwise(F.array().cast("array<string>")))
+    parts = parts.withColumn("total", F.aggregate("chars", F.lit(0).cast("long"), lambda acc, c: acc + _char_hash(c)))
+    size, bound, rest = F.col("size"), F.col("bound"), F.col("rest")
+    # At the limit a longer line's rest meets that of a shorter one, which is hashed exactly.
+    places = F.when((size > 0) & (size <= EXACT_CHARS + 1), F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
+    exact = F.transform(places, lambda i: F.xxhash64(bound, F.concat(F.left(rest, i - 1), F.substr(rest, i + 1))))
+    summed = F.transform(F.array_distinct("chars"), lambda c: F.xxhash64(bound, size - 1, F.col("total") - _char_hash(c)))
+    whole = F.when(size <= EXACT_CHARS, F.xxhash64(bound, rest)).otherwise(F.xxhash64(bound, size, "total"))
+    own = F.when(F.col("role") < 2, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
+    return parts.select("k1", "k2", F.explode(F.array_distinct(F.concat(own, exact, summed))).alias("key"))
+
+
+def within_one_edit(a: Column, b: Column) -> Column:
+    """Whether two texts are equal or one edit apart, in a logarithmic number of comparisons.
+
+    The common beginning is found by halving; the remainders must then agree, with a character of
+    either or both left out.
+    """
+    shorter = F.least(F.length(a), F.length(b))
+    bits = F.sequence(F.ceil(F.log2(shorter + 1)).cast("int"), F.lit(0))
+
+    def longer(common: Column, bit: Column) -> Column:
+        more = common + F.pow(F.lit(2), bit).cast("int")
+        return F.when((more <= shorter) & (F.left(a, more) == F.left(b, more)), more).otherwise(common)
+
+    common = F.aggregate(bits, F.lit(0), longer)
+    skip, drop = F.substr(a, common + 1), F.substr(b, common + 1)
+    return (
+        (F.abs(F.length(a) - F.length(b)) <= 1)
+        & ((F.substr(skip, F.lit(2)) == F.substr(drop, F.lit(2))) | (skip == F.substr(drop, F.lit(2))) | (F.substr(skip, F.lit(2)) == drop))
+    )
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -104,9 +129,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = hashed.join(wanted, same).select(hashed["id"], hashed["t"], F.split("text", "\n").alias("all"), F.explode("wanted").alias("w"))
     found = found.select(F.struct("id", "w.pos", "t").alias("first"), "w.role", F.get("all", F.col("w.pos")).alias("line")).dropDuplicates(["first", "role"])
     lines = stored(found.withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64("line", F.lit(1))), "lines-near")
-    keys = F.when(F.col("role") == 0, _variant_keys(line, 0)).when(F.col("role") == 1, _variant_keys(line, 1))
-    keys = keys.when(F.col("role") == 2, _variant_keys(line, 2)).otherwise(_variant_keys(line, 3))
-    variants = stored(lines.select("k1", "k2", F.explode(keys).alias("key")), "lines-variants")
+    variants = stored(_with_variant_keys(lines), "lines-variants")
     left, right = variants.alias("a"), variants.alias("b")
     pairs = left.join(right, "key").where("struct(a.k1, a.k2) < struct(b.k1, b.k2)")
     pairs = pairs.select(F.col("a.k1").alias("a1"), F.col("a.k2").alias("a2"), F.col("b.k1").alias("b1"), F.col("b.k2").alias("b2")).distinct()
@@ -114,7 +137,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one = once.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("first").alias("af"), F.col("line").alias("al"))
     two = once.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("first").alias("bf"), F.col("line").alias("bl"))
     near = stored(
-        pairs.join(one, ["a1", "a2"]).join(two, ["b1", "b2"]).where(F.levenshtein("al", "bl", 1).between(0, 1)).select("a1", "a2", "af", "b1", "b2", "bf"),
+        pairs.join(one, ["a1", "a2"]).join(two, ["b1", "b2"]).where(within_one_edit(F.col("al"), F.col("bl"))).select("a1", "a2", "af", "b1", "b2", "bf"),
         "lines-pairs",
     )
     # The earliest place of a line or of one near it.

@@ -6,13 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerworks.llm import bpe, packing
+from layerworks.llm import bpe, jaccard, langid, lines, packing, passages, quality, toxicity, warc
+from layerworks.llm.common import remainder
+from layerworks.session import scratch_path
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as an archived capture, read back and assembled."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.captures_of_pages(_table(spark, folder, "pages")), path)
+    # Payloads are measured where they are read, and the nested rows carry the measures.
+    records = warc.with_digests(warc.read_warc(spark, path))
+    records = records.withColumn("payload", F.when(F.col("type") == "metadata", F.col("payload")))
+    return warc.with_full_payload_size(warc.assemble(records))
+
+
 def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every whole text and the text they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,5 +43,44 @@ def op4_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.token_pieces(_table(spark, folder, "documents"), path))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_round_trip, op4_pack_sequences)}
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every whole text, learned from three quarters of the documents."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held = remainder(F.col("doc_id"), 4) == 2
+    model = langid.train(docs.where(~held), public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the words of windows that an earlier document has."""
+    rows = passages.remove_repeats(_table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents linked by a shingle similarity of 0.8 or more."""
+    return jaccard.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every whole text, learned from two thirds of the labels."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    held = remainder(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs, _table(spark, folder, "labels").where(~held))
+    rows = toxicity.tag(docs, model)
+    return rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without lines that are equal or near to an earlier one, as digests."""
+    rows = lines.dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document judged by the base rules and by cutoffs certified on the labels."""
+    return quality.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op8_toxicity, op9_line_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
