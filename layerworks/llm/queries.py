@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerworks.llm import bpe, jaccard, langid, lines, packing, passages, quality, toxicity, warc
+from layerworks.llm import bpe, jaccard, langid, lines, neighbours, packing, passages, quality, toxicity, warc
 from layerworks.llm.common import remainder
 from layerworks.session import scratch_path
 
@@ -62,6 +62,11 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all others."""
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every whole text, learned from two thirds of the labels."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -82,5 +87,5 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op8_toxicity, op9_line_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op7_nearest_vectors, op8_toxicity, op9_line_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
