@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerworks.llm import bpe, jaccard, langid, lines, neighbours, packing, passages, quality, toxicity, warc
-from layerworks.llm.common import remainder
+from layerworks.llm.common import remainder, stored
 from layerworks.session import scratch_path
 
 
@@ -21,7 +21,7 @@ def op1_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
     warc.write_warc(warc.captures_of_pages(_table(spark, folder, "pages")), path)
     # Payloads are measured where they are read, and the nested rows carry the measures.
     records = warc.with_digests(warc.read_warc(spark, path))
-    records = records.withColumn("payload", F.when(F.col("type") == "metadata", F.col("payload")))
+    records = stored(records.withColumn("payload", F.when(F.col("type") == "metadata", F.col("payload"))), "warc-records")
     return warc.with_full_payload_size(warc.assemble(records))
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from layerworks.llm.common import free_shuffles
+
 EPOCH = "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GAP = "\r\n\r\n"
@@ -60,11 +62,12 @@ def captures_of_pages(pages: DataFrame, id_col: str = "page_id", url_col: str =
     )
 
 
-def write_warc(captures: DataFrame, path: str, records_per_file: int = 30000) -> None:
-    """Write a request, a response or revisit, and a metadata record per capture, as WARC 1.1 text files.
+def write_warc(captures: DataFrame, path: str, records_per_file: int = 15000, compression: str = "gzip") -> None:
+    """Write a request, a response or revisit, and a metadata record per capture, as WARC 1.1 files.
 
     The writer separates records by two line ends, as WARC asks.  Files follow Spark's partitions
-    and its commit protocol, so a lost executor leaves no half archive.
+    and its commit protocol, so a lost executor leaves no half archive.  ``compression`` is the
+    codec of whole files; "none" writes them plain.
     """
     name = F.col("id").cast("string")
     response = _uuid(F.lit("response"), name, F.col("digest"))
@@ -84,7 +87,8 @@ def write_warc(captures: DataFrame, path: str, records_per_file: int = 30000) ->
                 about, "application/warc-fields"),
     )
     lines = captures.select(F.explode(records).alias("value"))
-    lines.write.option("lineSep", GAP).option("maxRecordsPerFile", records_per_file).text(path)
+    lines.write.option("lineSep", GAP).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
+    free_shuffles(captures.sparkSession)
 
 
 def parse_records(data: bytes) -> Iterator[dict]:
