@@ -10,6 +10,7 @@ again together.  A block whose best packing meets the lower bound is finished at
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,10 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerworks.llm.bpe import TwoGenerations
+from layerworks.llm.bpe import TwoGenerations, _byte_alphabet
 from layerworks.llm.common import stored, text_slices
 
 END_OF_DOCUMENT = 1
+CACHE_WORDS = 400_000
+WORD_END = "</w>"
+#: The vocabulary's units between blanks.
+UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ITEM = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -39,12 +44,42 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memory = TwoGenerations()
+        self.memory = TwoGenerations(CACHE_WORDS)
+        # The same merges as ranks, for plain words: the mark of a word's end is a byte that UTF-8
+        # never has, and its merges come first, as their numbers are the smallest.
+        import regex
+        import tiktoken
+
+        letters = _byte_alphabet()
+        vocabulary = self.tokenizer.get_vocab()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        ranks = {}
+        for token, number in vocabulary.items():
+            if token not in self.special:
+                body = token.removesuffix(WORD_END)
+                ranks[bytes(letters[c] for c in body) + b"\xff" * (body != token)] = number
+        self.ranked = tiktoken.Encoding("ranks", pat_str=r"[\s\S]", mergeable_ranks=ranks, special_tokens={})
+        self.units = regex.compile(UNITS)
+
+    def _plain(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters, whose normal form and classes are beyond doubt."""
+        if max(word) >= "\u0250" or not unicodedata.is_normalized("NFC", word) or any(mark in word for mark in self.special):
+            return None
+        ids: list[int] = []
+        for unit in self.units.findall(word.lower()):
+            ids += self.ranked._encode_single_piece(unit.encode() + b"\xff")
+        return np.array(ids, "<u4").tobytes()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed little-endian uint32."""
         parts = [text.replace("\n", " ").split(" ") for text in texts]
-        wanted = self.memory.missing({word for p in parts for word in p})
+        wanted = []
+        for word in self.memory.missing({word for p in parts for word in p}):
+            found = self._plain(word) if word else b""
+            if found is None:
+                wanted.append(word)
+            else:
+                self.memory.new[word] = found
         for at in range(0, len(wanted), 4096):
             some = wanted[at : at + 4096]
             codes = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)

@@ -16,7 +16,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 def test_pieces_equal_the_library(spark):
     library = Tokenizer.from_file(PATH)
     rng = random.Random(3)
-    parts = ["a", "The", " ", "\n", "\t", " ", "é", "é", "İ", "ΑΣ", "12", "don't", "!!", "日本", "<|endoftext|>", "word " * 30, "\x1c"]
+    parts = ["a", "The", " ", "\n", "\t", " ", "é", "é", "İ", "ΑΣ", "12", "don't", "!!", "日本", "<|endoftext|>", "don't'll", "ÀÉß", "e\u0301", "½²", "I'M", "\xa0", "word " * 30, "\x1c"]
     texts = [None, "", "   ", "x" * 9000] + ["".join(rng.choice(parts) for _ in range(rng.choice([5, 60, 400]))) for _ in range(60)]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
     got = defaultdict(list)
