@@ -25,16 +25,19 @@ from layerworks.llm.common import stored, text_slices
 WORD = re.compile(r"[^\W\d_]+")
 WORD_START = "▁"
 LONG = 48  # characters above which a word is scored by itself, with rescaling
+#: Characters of the vocabulary's longest piece at most.
+LONGEST = 64
 CACHE_WORDS = 400_000
 UNKNOWN = "und"
 
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> tuple[dict[str, int], int]:
-    """Pieces of the vocabulary to numbers, and the longest one's characters.
+    """Pieces of the vocabulary to numbers, and how many there are.
 
-    Bytes, control and unknown pieces are left out: one more number stands for any character that
-    is no piece.
+    Bytes, control and unknown pieces are left out; the number after the last stands for any
+    character that is no piece.  Beginnings of pieces that are none themselves have -1, so that a
+    search can stop where nothing longer is known.
     """
     import sentencepiece
 
@@ -44,45 +47,50 @@ def pieces(path: str) -> tuple[dict[str, int], int]:
         for i in range(model.get_piece_size())
         if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
     ]
-    known = {p: n for n, p in enumerate(sorted({p.lower() for p in plain}))}
-    return known, max(map(len, known))
+    own = {p: n for n, p in enumerate(sorted({p.lower() for p in plain}))}
+    begun = {p[:size]: -1 for p in own for size in range(1, len(p))}
+    return begun | own, len(own)
 
 
-def lattice(words: list[str], known: dict[str, int], longest: int) -> tuple[np.ndarray, ...]:
-    """All pieces of all words: (word, start, end, piece), in the order of their ends."""
-    edges: list[tuple[int, int, int, int]] = []
-    other = len(known)
+def lattice(words: list[str], known: dict[str, int], count: int) -> tuple[np.ndarray, ...]:
+    """All pieces of all words, of up to ``LONG`` characters: (word, start, end, piece), by ends, then words."""
+    edges: list[int] = []
+    add, get = edges.append, known.get
     for number, word in enumerate(words):
         text = WORD_START + word
         size = len(text)
+        mark = number << 24
         for start in range(size):
-            for end in range(start + 1, min(size, start + longest) + 1):
-                piece = known.get(text[start:end])
-                if piece is not None:
-                    edges.append((end, number, start, piece))
-                elif end == start + 1:
-                    edges.append((end, number, start, other))
-    table = np.array(edges, np.int64).reshape(-1, 4)
-    table = table[np.argsort(table[:, 0], kind="stable")]
-    return table[:, 1], table[:, 2], table[:, 0], table[:, 3]
+            place = mark + (start << 18)
+            for end in range(start + 1, size + 1):
+                piece = get(text[start:end])
+                if piece is None or piece < 0:
+                    if end == start + 1:
+                        add((end << 40) + place + count)
+                    if piece is None:
+                        break
+                else:
+                    add((end << 40) + place + piece)
+    table = np.sort(np.array(edges, np.int64))
+    return (table >> 24) & 0xFFFF, (table >> 18) & 63, table >> 40, table & 0x3FFFF
 
 
 def _bounds(ends: np.ndarray, last: int) -> np.ndarray:
     return np.searchsorted(ends, np.arange(last + 2))
 
 
-def forward(words: list[str], table: np.ndarray, known: dict[str, int], longest: int) -> np.ndarray:
+def forward(words: list[str], table: np.ndarray, known: dict[str, int], count: int) -> np.ndarray:
     """log of the summed probability of each word under each column of ``table``."""
     out = np.empty((len(words), table.shape[1]))
     short = [i for i, w in enumerate(words) if len(w) <= LONG]
     if short:
         chosen = [words[i] for i in short]
-        word, start, end, piece = lattice(chosen, known, longest)
+        word, start, end, piece = lattice(chosen, known, count)
         sums = _sums(len(chosen), max(map(len, chosen)) + 1, word, start, end, table[piece])
         sizes = np.array([len(w) + 1 for w in chosen])
         out[short] = np.log(sums[np.arange(len(chosen)), sizes])
     for i in set(range(len(words))).difference(short):
-        out[i] = _long_word(words[i], table, known, longest)
+        out[i] = _long_word(words[i], table, known, count)
     return out
 
 
@@ -93,31 +101,35 @@ def _sums(count: int, last: int, word: np.ndarray, start: np.ndarray, end: np.nd
     for place in range(1, last + 1):
         here = slice(bounds[place], bounds[place + 1])
         if here.start < here.stop:
-            np.add.at(sums[:, place], word[here], sums[word[here], start[here]] * weight[here])
+            owner = word[here]  # ascending
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            sums[owner[first], place] = np.add.reduceat(sums[owner, start[here]] * weight[here], first, axis=0)
     return sums
 
 
-def _long_word(word: str, table: np.ndarray, known: dict[str, int], longest: int) -> np.ndarray:
+def _long_word(word: str, table: np.ndarray, known: dict[str, int], count: int) -> np.ndarray:
     """The same sums for one word of any length; the last few are kept, scaled to one."""
     text = WORD_START + word
     recent = [np.ones(table.shape[1])]
     scale = np.zeros(table.shape[1])
     for end in range(1, len(text) + 1):
         total = np.zeros(table.shape[1])
-        for back in range(1, min(longest, end) + 1):
-            piece = known.get(text[end - back : end], len(known) if back == 1 else None)
-            if piece is not None:
+        for back in range(1, min(LONGEST, end) + 1):
+            piece = known.get(text[end - back : end], -1)
+            if piece < 0 and back == 1:
+                piece = count
+            if piece >= 0:
                 total += recent[-back] * table[piece]
-        recent = [*recent[-(longest - 1) :], total]
+        recent = [*recent[-(LONGEST - 1) :], total]
         if end % 8 == 0:
             scale += np.log(total)
             recent = [r / total for r in recent]
     return scale + np.log(recent[-1])
 
 
-def expected_counts(words: list[str], times: np.ndarray, weights: np.ndarray, known: dict[str, int], longest: int) -> np.ndarray:
+def expected_counts(words: list[str], times: np.ndarray, weights: np.ndarray, known: dict[str, int], count: int) -> np.ndarray:
     """Expected number of each piece in the words under one language's probabilities."""
-    word, start, end, piece = lattice(words, known, longest)
+    word, start, end, piece = lattice(words, known, count)
     weight = weights[piece]
     last = max(map(len, words)) + 1
     ahead = _sums(len(words), last, word, start, end, weight[:, None])[:, :, 0]
@@ -131,7 +143,7 @@ def expected_counts(words: list[str], times: np.ndarray, weights: np.ndarray, kn
             np.add.at(behind, (word[here], start[here]), behind[word[here], place] * weight[here])
     total = ahead[np.arange(len(words)), sizes]
     share = ahead[word, start] * weight * behind[word, end] / total[word] * times[word]
-    return np.bincount(piece, weights=share, minlength=len(known) + 1)
+    return np.bincount(piece, weights=share, minlength=count + 1)
 
 
 @dataclass
@@ -146,7 +158,7 @@ class Model:
 
 def train(
     labelled: DataFrame, path: str, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-    sample_per_language: int = 1500, iterations: int = 3, smoothing: float = 0.05, max_languages: int = 500,
+    sample_per_language: int = 600, iterations: int = 3, smoothing: float = 0.05, max_languages: int = 500,
 ) -> Model:
     """Learn from labelled rows; rows without a language or text teach nothing.
 
@@ -159,9 +171,9 @@ def train(
     if len(shares) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     shares = {r["_lang"]: r["_rows"] for r in sorted(shares, key=lambda r: r["_lang"])}
-    known, longest = pieces(path)
+    known, count = pieces(path)
     languages = list(shares)
-    table = np.full((len(known) + 1, len(languages)), 1 / (len(known) + 1))
+    table = np.full((count + 1, len(languages)), 1 / (count + 1))
     if not languages:
         return Model(path, [], table, np.zeros(0))
     limit = F.create_map(*[x for k, v in shares.items() for x in (F.lit(k), F.lit(min(1.0, sample_per_language / v)))])
@@ -178,7 +190,7 @@ def train(
 
 def _maximised(counts: DataFrame, path: str, languages: list[str], table: np.ndarray, smoothing: float) -> np.ndarray:
     def expected(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, longest = pieces(path)
+        known, count = pieces(path)
         sums = np.zeros(table.shape)
         for frame in frames:
             for lang, part in frame.groupby("lang"):
@@ -186,7 +198,7 @@ def _maximised(counts: DataFrame, path: str, languages: list[str], table: np.nda
                 for at in range(0, len(part), 5000):
                     some = part.iloc[at : at + 5000]
                     times = some["count"].to_numpy(float)
-                    sums[:, column] += expected_counts(some["word"].tolist(), times, table[:, column], known, longest)
+                    sums[:, column] += expected_counts(some["word"].tolist(), times, table[:, column], known, count)
         piece, column = np.nonzero(sums)
         yield pd.DataFrame({"piece": piece, "column": column, "times": sums[piece, column]})
 
@@ -202,7 +214,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known, self.longest = pieces(model.path)
+        self.known, self.count = pieces(model.path)
         self.reset()
 
     def reset(self) -> None:
@@ -242,7 +254,7 @@ class Scorer:
             start = len(self.place)
             if start + len(some) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.empty((max(len(self.rows), len(some)), self.rows.shape[1]))])
-            self.rows[start : start + len(some)] = forward(some, self.model.table, self.known, self.longest)
+            self.rows[start : start + len(some)] = forward(some, self.model.table, self.known, self.count)
             self.place.update(zip(some, range(start, start + len(some))))
 
 
