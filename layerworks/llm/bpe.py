@@ -15,6 +15,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -62,6 +63,8 @@ class Encoder:
         for token, number in vocabulary.items():
             self.token_bytes[number] = token.encode() if token in special else bytes(byte_of[c] for c in token)
         self.lengths = np.array([len(b) for b in self.token_bytes], np.int64)
+        self.places = np.cumsum(self.lengths) - self.lengths
+        self.all_bytes = np.frombuffer(b"".join(self.token_bytes), np.uint8)
         self.special = sorted(special, key=len, reverse=True)
         self.special_ids = {vocabulary[s] for s in special}
         self.memory = TwoGenerations()
@@ -119,13 +122,23 @@ class Encoder:
         ids, starts = found or self.encode_all([text])[0]
         return Piece(self, text.encode(), np.frombuffer(ids, "<i4"), np.frombuffer(starts, np.uint8))
 
-    def decode(self, ids: list[int]) -> str:
-        """As the library's ``decode(ids, skip_special_tokens=False)``."""
-        data = self.ranked.decode_bytes(ids)
-        try:
-            return data.decode()
-        except UnicodeDecodeError:
-            return self.tokenizer.decode(ids, skip_special_tokens=False)
+    def decode_all(self, lists: pa.ListArray) -> list[str]:
+        """As the library's ``decode(ids, skip_special_tokens=False)``, for many lists at once."""
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        sizes = np.array([0 if n is None else n for n in pc.list_value_length(lists).to_pylist()], np.int64)
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        source = np.repeat(self.places[ids] - (ends - lengths), lengths) + np.arange(int(lengths.sum()))
+        data = self.all_bytes[source].tobytes()
+        last = np.cumsum(sizes)
+        stops = np.r_[0, ends][last].tolist()
+        out = []
+        for row, (begin, stop) in enumerate(zip([0, *stops], stops)):
+            try:
+                out.append(data[begin:stop].decode())
+            except UnicodeDecodeError:
+                out.append(self.tokenizer.decode(ids[last[row] - sizes[row] : last[row]].tolist(), skip_special_tokens=False))
+        return out
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -353,7 +366,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", to: str = "decoded"
         tool = encoder(path)
         for batch in batches:
             for part in _slices(batch, ids_col):
-                texts = [tool.decode(ids or []) for ids in part.column(ids_col).to_pylist()]
+                texts = tool.decode_all(part.column(ids_col))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, to])
 
     return rows.mapInArrow(decoded, StructType([*rows.schema.fields, StructField(to, StringType())]))
