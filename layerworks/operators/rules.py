@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerworks.config import ConfigError, section
+from layerworks.config import ConfigError, role_names, section
 from layerworks.functions.ids import lookup
 from layerworks.sources.literals import literal_rows
 
@@ -112,10 +112,11 @@ def add_cdm_metadata(
 
     The department is that of the row (``department_scope: from_data``).
     """
-    roles = section(section(config, "permission_metadata"), "allowed_roles")
+    permissions = section(config, "permission_metadata")
+    section(permissions, "allowed_roles")
     return df.withColumns(
         {
-            "allowed_roles": F.lit(",".join(roles)),
+            "allowed_roles": F.lit(role_names(permissions)),
             "source_client": F.lit(section(config, "client_id")),
             "_transformed_at": F.current_timestamp(),
         }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from layerworks.operators.newest import newest_per_key
 
@@ -12,12 +13,30 @@ from layerworks.operators.newest import newest_per_key
 def upsert(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """The target with every key that changed replaced by its newest event.
+    """The target with every key's newest row: of the changes, or the one it has if that is newer.
 
-    Only the keys of the changes meet the target: few of them are broadcast (the
-    optimiser checks their size at run time) and the target then stays in place.
-    As in a merge, a null key matches nothing.
+    Late events therefore change nothing, and the result does not depend on how events fall into
+    batches.  An incoming row wins a tie.  The changes are reduced to a row per key before they
+    meet the target, so the optimiser can broadcast them if they are few.  Order columns that the
+    target lacks are not compared; as in a merge, a null key matches nothing.
     """
     newest = newest_per_key(changes, keys, order_by).select(*target.columns)
-    changed = changes.select(*keys).distinct()
-    return target.join(changed, list(keys), "left_anti").select(*target.columns).unionByName(newest)
+    known = [name for name in order_by if name in target.columns]
+    held, fresh = target.alias("held"), newest.alias("fresh")
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(f"held.`{key}`") == F.col(f"fresh.`{key}`"))
+    stays = F.col(f"fresh.`{keys[0]}`").isNull()
+    if known:
+        stays = stays | (
+            F.struct(*[F.col(f"held.`{name}`") for name in known])
+            > F.struct(*[F.col(f"fresh.`{name}`") for name in known])
+        )
+    updated = held.join(fresh, same, "left").select(
+        *[
+            F.when(stays, F.col(f"held.`{name}`")).otherwise(F.col(f"fresh.`{name}`")).alias(name)
+            for name in target.columns
+        ]
+    )
+    added = newest.join(target.select(*keys), list(keys), "left_anti").select(*target.columns)
+    return updated.unionByName(added)

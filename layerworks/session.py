@@ -47,7 +47,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = _test_folder()
     return f"{root.rstrip('/')}/layerworks/{name}-{uuid.uuid4().hex}"

@@ -53,7 +53,7 @@ def test_upsert(tables):
     target, changes = tables
     got = upsert(target, changes, ["k"], ["t", "v"])
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
-        [(1, "old", 1), (2, "late", 5), (3, "older", 0), (None, "kept", 1), (4, "new", 2)], key=str
+        [(1, "old", 1), (2, "late", 5), (3, "old", 1), (None, "kept", 1), (4, "new", 2)], key=str
     )
     again = upsert(got, changes, ["k"], ["t", "v"])
     assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, got.collect()), key=str)
@@ -63,3 +63,16 @@ def test_upsert_takes_the_targets_columns(tables):
     target, changes = tables
     extra = changes.withColumn("event", F.lit(1)).select("event", "t", "v", "k")
     assert upsert(target, extra, ["k"], ["t", "v"]).columns == ["k", "v", "t"]
+
+
+def test_late_events_change_nothing(spark):
+    base = spark.createDataFrame([(1, "base", 0), (2, "kept", 5)], "k int, v string, t int")
+    events = [(1, "new", 9), (1, "late", 3), (2, "old", 4), (2, "tie", 5), (3, "c", 1), (3, "b", 0)]
+    whole = upsert(base, spark.createDataFrame(events, base.schema), ["k"], ["t"])
+    expected = sorted(map(tuple, whole.collect()))
+    assert expected == [(1, "new", 9), (2, "tie", 5), (3, "c", 1)]
+    for order in (events, events[::-1], events[2:] + events[:2]):
+        table = base
+        for event in order:
+            table = upsert(table, spark.createDataFrame([event], base.schema), ["k"], ["t"])
+        assert sorted(map(tuple, table.collect())) == expected
