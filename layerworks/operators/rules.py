@@ -8,10 +8,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, FractionalType, IntegralType
 
 from layerworks.config import ConfigError, role_names, section
 from layerworks.functions.ids import lookup
-from layerworks.sources.literals import literal_rows
 
 # Columns of the common data model, in order.
 CDM_COLUMNS = (
@@ -24,9 +24,6 @@ CDM_COLUMNS = (
     "_transformed_at",
 )
 
-# A longer value dictionary is joined instead of being written into the plan.
-MAX_INLINE_ENTRIES = 200
-
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename in one projection; names the data lacks are ignored."""
@@ -72,20 +69,28 @@ def _steps(rules: Any) -> list[tuple[str, Any]]:
     return steps
 
 
-def _join_values(df: DataFrame, column: str, entries: Mapping[str, str]) -> DataFrame:
-    """``map_values`` for a long dictionary.
+def _of_type(entry: Any, kind: DataType, column: str) -> Column:
+    """A key or value of a dictionary as the column's type."""
+    try:
+        if isinstance(kind, IntegralType):
+            if isinstance(entry, bool) or int(entry) != float(entry):
+                raise ValueError
+            return F.lit(int(entry)).cast(kind)
+        if isinstance(kind, FractionalType):
+            float(entry)
+            return F.lit(str(entry)).cast(kind)
+    except (TypeError, ValueError):
+        raise ConfigError(f"mapping of {column}: {entry!r} is no {kind.simpleString()}") from None
+    return F.lit(entry).cast(kind)
 
-    The planner knows the size of these local rows, so it broadcasts them only
-    where they fit, and AQE splits a skewed value otherwise.
-    """
-    key, target = f"_{column}_from", f"_{column}_to"
-    rows = literal_rows(df.sparkSession, list(entries.items()), [key, target])
-    mapped = F.coalesce(F.col(f"`{target}`"), F.col(f"`{column}`"))
-    return (
-        df.join(rows, df[f"`{column}`"] == rows[f"`{key}`"], "left")
-        .withColumn(column, mapped)
-        .drop(key, target)
-    )
+
+def _typed_mapping(df: DataFrame, column: str, value: Column, entries: Mapping[Any, Any]) -> Column:
+    """``map_values`` whose result has the column's type, whatever the size of the dictionary."""
+    kind = df.select(value.alias("value")).schema["value"].dataType
+    if not entries:
+        return value
+    pairs = [_of_type(item, kind, column) for entry in entries.items() for item in entry]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), value)
 
 
 def apply_rules(df: DataFrame, transformations: Mapping[str, Any] | None) -> DataFrame:
@@ -96,9 +101,8 @@ def apply_rules(df: DataFrame, transformations: Mapping[str, Any] | None) -> Dat
     for column, rules in (transformations or {}).items():
         value = F.col(f"`{column}`")
         for name, argument in _steps(rules):
-            if name == "mapping" and len(argument) > MAX_INLINE_ENTRIES:
-                df = _join_values(df.withColumn(column, value), column, argument)
-                value = F.col(f"`{column}`")
+            if name == "mapping":
+                value = _typed_mapping(df, column, value, argument)
             else:
                 value = RULES[name](value, argument)
         df = df.withColumn(column, value)

@@ -166,9 +166,7 @@ def test_rules_turn_bad_values_into_null(spark):
     assert [str(row.v) for row in got.collect()] == ["2020-04-01"] + ["None"] * 6
 
 
-@pytest.mark.parametrize("limit", [200, 1])
-def test_value_dictionaries_inline_and_joined(spark, monkeypatch, limit):
-    monkeypatch.setattr(rules, "MAX_INLINE_ENTRIES", limit)
+def test_value_dictionaries(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(["a", "b", "z", None, "B"])], "i int, v string")
     got = rules.apply_rules(df, {"v": {"mapping": {"a": "A", "b": "B", "B": "c"}}})
     assert got.columns == ["i", "v"]
@@ -202,3 +200,16 @@ def test_other_record_formats(spark, tmp_path, table_names):
         "file_format": "csv", "path": str(tmp_path / "t.tsv"), "options": {"sep": "\t"},
     }
     assert [tuple(r)[:2] for r in read_bronze(spark, config).collect()] == [(1, "a"), (2, "b")]
+
+
+def test_mapping_keeps_the_type_at_every_size(spark):
+    df = spark.createDataFrame([(1, "1"), (700, "x"), (None, None)], "n int, s string")
+    for size in (3, 500):
+        numbers = rules.apply_rules(df, {"n": {"mapping": {i: i + 1000 for i in range(size)}}})
+        assert dict(numbers.dtypes)["n"] == "int"
+        assert [r.n for r in numbers.collect()] == [1001, 700, None]
+        texts = rules.apply_rules(df, {"s": {"mapping": {i: i + 1000 for i in range(size)}}})
+        assert dict(texts.dtypes)["s"] == "string"
+        assert [r.s for r in texts.collect()] == ["1001", "x", None]
+    with pytest.raises(ConfigError):
+        rules.apply_rules(df, {"n": {"mapping": {"one": 2}}})
