@@ -219,7 +219,7 @@ def _compared(around: pa.ListArray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), *lists], ["node", "new_ids", "new_sims"])
 
 
-def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 64, width: int = 16, rounds: int = 6) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 96, width: int = 24, rounds: int = 6) -> DataFrame:
     """(query, vec, found): the ``beam`` best nodes found for each (query, vec, start), best first.
 
     In every round each query looks at the neighbours of its ``width`` best nodes not looked at
