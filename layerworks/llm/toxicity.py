@@ -277,7 +277,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         packed = np.concatenate([model.weights, model.pairs.ravel(), model.first, [model.slope, model.offset]])
         yield pd.DataFrame({"model": [packed.astype("<f8").tobytes()]})
 
-    data = np.frombuffer(bytes(both.repartition(1).mapInPandas(fitted, "model binary").first()["model"]), "<f8")
+    found = both.repartition(1).mapInPandas(fitted, "model binary").first()
+    if found is None:  # no labelled text, so no task ran
+        return fit([], [])
+    data = np.frombuffer(bytes(found["model"]), "<f8")
     weights, rest = data[:BUCKETS], data[BUCKETS:]
     return Model(weights, rest[:4].reshape(2, 2), rest[4:6], float(rest[6]), float(rest[7]))
 
