@@ -10,19 +10,18 @@ import argparse
 from pyspark.sql import SparkSession
 
 from layerworks.config import load_parsing_config
-from layerworks.operators.extract import add_extracted_text, quarantined_documents
 from layerworks.plans.datasets import publish_all
 from layerworks.plans.documents import document_datasets
 
 
 def run(spark: SparkSession, configs: str, checkpoint: str | None = None, prefix: str = "") -> None:
-    """Publish the three layers, and show chunks and the documents without a text."""
+    """Publish the layers, and show some chunks and some of the quarantine."""
     datasets = document_datasets(load_parsing_config(spark, configs), checkpoint, prefix=prefix)
     for name, counts in publish_all(spark, datasets).items():
         print(name, counts)
-    bronze, _, gold = (spark.table(dataset.name) for dataset in datasets)
+    _, _, quarantine, _, gold = (spark.table(dataset.name) for dataset in datasets)
     gold.select("document_id", "chunk_index", "chunk_text").orderBy("document_id", "chunk_index").show()
-    quarantined_documents(add_extracted_text(bronze)).show()
+    quarantine.show()
 
 
 def main() -> None:

@@ -55,8 +55,11 @@ def _fold_chunks(
         return F.struct(chunks.alias("chunks"), *named)
 
     def fold_block(before: Column, block: Column) -> Column:
-        return bind(
-            F.aggregate(block, state(_strings(), before), extend),
+        # Added by the fold's own last step: a bound value is copied, all its texts too.
+        return F.aggregate(
+            block,
+            state(_strings(), before),
+            extend,
             lambda after: state(F.concat(before.chunks, after.chunks), after),
         )
 

@@ -20,6 +20,9 @@ class Dataset:
 
     With a ``checkpoint`` it is a streaming table: rows are appended, new ones only.
     Otherwise it is a materialised view: each run replaces it.
+
+    Expectations see the rows that ``build`` gives; ``finish`` makes the table's rows
+    from those that pass.
     """
 
     name: str
@@ -27,6 +30,7 @@ class Dataset:
     comment: str = ""
     expectations: Sequence[Expectation] = ()
     checkpoint: str | None = None
+    finish: Callable[[DataFrame], DataFrame] | None = None
 
 
 def materialized_view(
@@ -34,9 +38,10 @@ def materialized_view(
     build: Callable[[SparkSession], DataFrame],
     comment: str = "",
     expectations: Sequence[Expectation] = (),
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Dataset:
     """A dataset that each run replaces."""
-    return Dataset(name, build, comment, tuple(expectations))
+    return Dataset(name, build, comment, tuple(expectations), finish=finish)
 
 
 def streaming_table(
@@ -60,13 +65,14 @@ def publish(spark: SparkSession, dataset: Dataset, folder: str | None = None) ->
     """
     df = dataset.build(spark)
     path = f"{folder.rstrip('/')}/{dataset.name}" if folder else None
+    observation = Observation() if dataset.checkpoint is None else None
+    rows = apply_expectations(df, dataset.expectations, observation)
+    if dataset.finish is not None:
+        rows = dataset.finish(rows)
     if dataset.checkpoint is not None:
-        checked = apply_expectations(df, dataset.expectations)
-        append_stream(checked, dataset.name, dataset.checkpoint, path)
+        append_stream(rows, dataset.name, dataset.checkpoint, path)
         return {}
-    observation = Observation()
-    checked = apply_expectations(df, dataset.expectations, observation)
-    overwrite_table(checked, dataset.name, dataset.comment, path)
+    overwrite_table(rows, dataset.name, dataset.comment, path)
     return observation.get
 
 

@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from layerworks.config import section
 from layerworks.functions.ids import SOURCE_TYPES
 from layerworks.operators.chunk import to_gold_chunks
-from layerworks.operators.extract import Parser, add_extracted_text, to_silver
+from layerworks.operators.extract import (
+    Parser,
+    add_extracted_text,
+    quarantined_documents,
+    to_silver,
+)
 from layerworks.operators.quality import expect_or_drop
 from layerworks.plans.datasets import Dataset, materialized_view, streaming_table
 from layerworks.plans.tables import append_stream, overwrite_table
@@ -19,6 +24,9 @@ from layerworks.sources.files import BATCH, INCREMENTAL, read_binary, to_bronze
 # Name and predicate of the expectation on document text.
 HAS_TEXT = expect_or_drop("has_extracted_text", "extracted_text IS NOT NULL")
 
+#: Tables of ``document_datasets``, in order.
+DOCUMENT_TABLES = ("bronze_docs", "extracted_docs", "quarantined_docs", "silver_docs", "gold_chunks")
+
 
 def bronze_documents(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
     """The configured folder's files as Bronze rows, batch or stream by its mode."""
@@ -62,31 +70,57 @@ def document_datasets(
     types: Mapping[str, str] = SOURCE_TYPES,
     prefix: str = "",
 ) -> list[Dataset]:
-    """The three layers as declared datasets; Bronze's kind follows the ingest mode.
+    """The layers as declared datasets: Bronze, extracted texts, quarantine, Silver, Gold.
+
+    Bronze and the extracted texts follow the ingest mode: a stream extracts each file
+    once, when it is new.  So after a change of parsers both need a new checkpoint and
+    new tables.  Silver and the quarantine read the same extraction.
 
     ``prefix`` goes before every name, to choose a schema for instance.
     """
     mode = section(config, "source").get("mode") or BATCH
-    comment = f"raw document files ({mode})"
-    names = [f"{prefix}{name}" for name in ("bronze_docs", "silver_docs", "gold_chunks")]
-    bronze_name, silver_name, gold_name = names
+    comment, text_comment = f"raw document files ({mode})", f"text of every file, or why none ({mode})"
+    names = [f"{prefix}{name}" for name in DOCUMENT_TABLES]
+    bronze_name, text_name, quarantine_name, silver_name, gold_name = names
 
     def build(spark: SparkSession) -> DataFrame:
         return bronze_documents(spark, config)
 
+    def extracted(bronze: DataFrame) -> DataFrame:
+        return add_extracted_text(bronze, parsers, types).drop("binary_content")
+
     if mode == INCREMENTAL:
         if checkpoint is None:
             raise ValueError(f"mode {INCREMENTAL!r} needs a checkpoint")
-        bronze = streaming_table(bronze_name, build, checkpoint, comment)
+        sources = [
+            streaming_table(bronze_name, build, checkpoint, comment),
+            streaming_table(
+                text_name,
+                lambda spark: extracted(spark.readStream.table(bronze_name)),
+                f"{checkpoint.rstrip('/')}_extracted",
+                text_comment,
+            ),
+        ]
     else:
-        bronze = materialized_view(bronze_name, build, comment)
+        sources = [
+            materialized_view(bronze_name, build, comment),
+            materialized_view(
+                text_name, lambda spark: extracted(spark.table(bronze_name)), text_comment
+            ),
+        ]
     return [
-        bronze,
+        *sources,
+        materialized_view(
+            quarantine_name,
+            lambda spark: quarantined_documents(spark.table(text_name)),
+            "documents without a text, and why",
+        ),
         materialized_view(
             silver_name,
-            lambda spark: silver_documents(spark.table(bronze_name), parsers, types),
+            lambda spark: spark.table(text_name),
             "document text, cleaned and masked",
             [HAS_TEXT],
+            finish=to_silver,
         ),
         materialized_view(
             gold_name,

@@ -13,6 +13,7 @@ from layerworks.operators.quality import (
     expect,
     expect_or_drop,
     ingest_metrics,
+    malformed,
     well_formed,
 )
 from layerworks.operators.rules import to_common_model, union_clients
@@ -53,7 +54,7 @@ def feed_expectations(config: Mapping[str, Any]) -> list[Expectation]:
 def feed_datasets(
     configs: Iterable[Mapping[str, Any]], target: str = "silver_cdm", prefix: str = ""
 ) -> list[Dataset]:
-    """Bronze and Silver of every client, and their union, as declared datasets.
+    """Bronze, quarantine and Silver of every client, and their union, as declared datasets.
 
     ``prefix`` goes before every name, to choose a schema for instance.
     """
@@ -61,7 +62,11 @@ def feed_datasets(
     for config in configs:
         client, label = section(config, "client_id"), config.get("client_name", "")
         bronze, silver = f"{prefix}bronze_{client}", f"{prefix}silver_{client}"
-        datasets += [_bronze_dataset(bronze, config, label), _silver_dataset(silver, bronze, config, label)]
+        datasets += [
+            _bronze_dataset(bronze, config, label),
+            _quarantine_dataset(f"{prefix}quarantine_{client}", bronze, label),
+            _silver_dataset(silver, bronze, config, label),
+        ]
         models.append(silver)
     union = materialized_view(
         f"{prefix}{target}",
@@ -75,6 +80,12 @@ def _bronze_dataset(name: str, config: Mapping[str, Any], label: str) -> Dataset
     return materialized_view(name, lambda spark: read_bronze(spark, config), f"{label} raw records")
 
 
+def _quarantine_dataset(name: str, bronze: str, label: str) -> Dataset:
+    return materialized_view(
+        name, lambda spark: malformed(spark.table(bronze)), f"{label} records that do not fit"
+    )
+
+
 def _silver_dataset(name: str, bronze: str, config: Mapping[str, Any], label: str) -> Dataset:
     return materialized_view(
         name,

@@ -82,7 +82,7 @@ def published_documents(spark: SparkSession, folder: str) -> DataFrame:
         config, scratch_path(spark, "checkpoint"), types=TYPES, prefix=fresh_name("docs") + "_"
     )
     publish_all(spark, datasets, scratch_path(spark, "published_documents"))
-    _, silver, gold = (detach(spark, dataset.name) for dataset in datasets)
+    *_, silver, gold = [detach(spark, dataset.name) for dataset in datasets]
     parts = silver.select("document_id", _part(F.col("metadata")["file_path"]).alias("part"))
     return gold.join(parts, "document_id").select(
         "part", "chunk_index", "chunk_text", "allowed_roles", "department"

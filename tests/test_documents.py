@@ -7,6 +7,7 @@ from layerworks.operators.chunk import chunkless_documents, to_gold_chunks
 from layerworks.operators.extract import add_extracted_text, join_parts, quarantined_documents
 from layerworks.plans.datasets import publish_all
 from layerworks.plans.documents import (
+    DOCUMENT_TABLES,
     bronze_documents,
     document_datasets,
     ingest_documents,
@@ -69,18 +70,34 @@ def test_layers_step_by_step(spark, folder, table_names):
 
 @pytest.mark.parametrize("mode", ["batch", "autoloader"])
 def test_layers_as_declared_datasets(spark, folder, tmp_path, mode):
-    names = ["bronze_docs", "silver_docs", "gold_chunks"]
-    for name in names:
+    for name in DOCUMENT_TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     (tmp_path / "parsing.yaml").write_text(fixtures.PARSING.format(path=folder, mode=mode))
     config = load_parsing_config(spark, str(tmp_path))
-    datasets = document_datasets(config, str(tmp_path / "checkpoint"))
+    calls = spark.sparkContext.accumulator(0)
+
+    def parse(content):
+        calls.add(1)
+        return content.decode()
+
+    datasets = document_datasets(config, str(tmp_path / "checkpoint"), {"pdf": parse})
+    assert [dataset.name for dataset in datasets] == list(DOCUMENT_TABLES)
     assert (datasets[0].checkpoint is None) == (mode == "batch")
     metrics = publish_all(spark, datasets)
     assert metrics["silver_docs"] == {"rows": 2, "has_extracted_text": 0}
     assert metrics["gold_chunks"] == {"rows": 5}
     assert texts_by_file(spark.table("gold_chunks"), spark.table("silver_docs")) == EXPECTED
-    for name in names:
+    # A second arrival: a file without a text, one with a parser, and a copy.
+    write(tmp_path / "docs", deck__pptx="p", new__pdf="new words", copy__pdf="new words")
+    assert publish_all(spark, datasets)["silver_docs"] == {"rows": 5, "has_extracted_text": 1}
+    (row,) = spark.table("quarantined_docs").collect()
+    assert (row.file_path.rsplit("/", 1)[1], row._corrupt) == ("deck.pptx", "no_parser:pptx")
+    assert spark.table("silver_docs").count() == 3
+    assert calls.value == 2
+    publish_all(spark, datasets)
+    # A stream extracts a file once; a batch starts again.
+    assert calls.value == (2 if mode == "autoloader" else 4)
+    for name in DOCUMENT_TABLES:
         spark.sql(f"DROP TABLE {name}")
 
 

@@ -62,7 +62,7 @@ def test_layers_step_by_step(spark, configs, table_names):
 def test_layers_as_declared_datasets(spark, configs, table_names):
     target = table_names("silver_cdm")
     for config in configs:
-        for layer in ("bronze", "silver"):
+        for layer in ("bronze", "quarantine", "silver"):
             # The datasets choose these names themselves.
             spark.sql(f"DROP TABLE IF EXISTS {layer}_{config['client_id']}")
     metrics = publish_all(spark, feed_datasets(configs, target))
@@ -72,10 +72,11 @@ def test_layers_as_declared_datasets(spark, configs, table_names):
         "rows": 5, "valid_employee_id": 0, "has_base_salary": 1, "has_join_date": 1,
     }
     assert metrics[target] == {"rows": 10}
+    assert metrics["quarantine_company_a"] == {"rows": 0}
     described = spark.sql("DESCRIBE TABLE EXTENDED bronze_company_a").collect()
     assert ("Comment", "Company A raw records") in [(r.col_name, r.data_type) for r in described]
     for config in configs:
-        for layer in ("bronze", "silver"):
+        for layer in ("bronze", "quarantine", "silver"):
             spark.sql(f"DROP TABLE {layer}_{config['client_id']}")
 
 
