@@ -58,6 +58,9 @@ RULES: dict[str, Callable[[Column, Any], Column]] = {
     "mapping": map_values,
 }
 
+# Rules that make null of values they cannot convert.
+REJECTING = ("cast", "date_format")
+
 
 def _steps(rules: Any) -> list[tuple[str, Any]]:
     """A column's rules in order: given as one mapping, or a list of mappings."""
@@ -93,20 +96,48 @@ def _typed_mapping(df: DataFrame, column: str, value: Column, entries: Mapping[A
     return F.coalesce(F.try_element_at(F.create_map(*pairs), value), value)
 
 
+def _applied(df: DataFrame, column: str, rules: Any) -> list[tuple[str, Column, Column]]:
+    """Name, input and output of each of a column's rules."""
+    value, applied = F.col(f"`{column}`"), []
+    for name, argument in _steps(rules):
+        before = value
+        if name == "mapping":
+            value = _typed_mapping(df, column, value, argument)
+        else:
+            value = RULES[name](value, argument)
+        applied.append((name, before, value))
+    return applied
+
+
 def apply_rules(df: DataFrame, transformations: Mapping[str, Any] | None) -> DataFrame:
-    """Apply each column's rules in the order given.
+    """Apply each column's rules in the order given, all in one projection."""
+    for column, rules in (transformations or {}).items():
+        for _, _, value in _applied(df, column, rules)[-1:]:
+            df = df.withColumn(column, value)
+    return df
 
-    Rules that are expressions end up in one projection.
+
+def rejected_values(
+    df: DataFrame, transformations: Mapping[str, Any] | None, *keys: str
+) -> DataFrame:
+    """The values that ``apply_rules`` turns into null: keys, column, rule and the value as it came.
+
+    A missing value is not a rejected one.  One pass, no shuffle.
     """
+    rejected = F.array().cast("array<struct<column: string, rule: string, raw: string>>")
     for column, rules in (transformations or {}).items():
-        value = F.col(f"`{column}`")
-        for name, argument in _steps(rules):
-            if name == "mapping":
-                value = _typed_mapping(df, column, value, argument)
-            else:
-                value = RULES[name](value, argument)
-        df = df.withColumn(column, value)
-    return df
+        raw = F.col(f"`{column}`").cast("string")
+        for name, before, after in _applied(df, column, rules):
+            found = F.struct(F.lit(column).alias("column"), F.lit(name).alias("rule"), raw.alias("raw"))
+            none = before.isNotNull() & after.isNull()
+            if name in REJECTING:
+                rejected = F.concat(rejected, F.when(none, F.array(found)).otherwise(F.array()))
+    return df.select(*keys, F.inline(rejected))
+
+
+def rejected_counts(rejected: DataFrame) -> DataFrame:
+    """Rejected values by column and rule."""
+    return rejected.groupBy("column", "rule").agg(F.count("*").alias("n_rejected"))
 
 
 def add_cdm_metadata(

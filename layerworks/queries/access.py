@@ -36,10 +36,9 @@ def access_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def secure_view(spark: SparkSession, folder: str) -> DataFrame:
-    create_secure_view(
-        _guarded(spark, folder), "secured_documents", ["manager"], "en", masked=["text"]
-    )
-    return spark.table("secured_documents")
+    name = fresh_name("secured_documents")
+    create_secure_view(_guarded(spark, folder), name, ["manager"], "en", masked=["text"])
+    return spark.table(name)
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerworks.config import build_schema_from_yaml, parse_yaml_config
+from layerworks.operators import rules
 from layerworks.operators.quality import (
     apply_expectations,
     expectation_metrics,
@@ -174,6 +175,24 @@ def rule_date(spark: SparkSession, folder: str) -> DataFrame:
     return apply_rules(orders, {"ordered_on": [{"date_format": "yyyy/MM/dd"}]})
 
 
+def rejected_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts and dates that do not convert, a few of them missing from the start."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(~_every("o_orderkey", 5), _yen("o_orderkey", "o_totalprice")).alias("amount"),
+        _slashed("o_orderkey", "o_orderdate").alias("ordered_on"),
+    )
+    transformations = {
+        "amount": [{"strip_chars": "¥,"}, {"cast": "integer"}],
+        "ordered_on": {"date_format": "yyyy/MM/dd"},
+    }
+    return rules.rejected_values(orders, transformations, "o_orderkey")
+
+
+def rejected_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.rejected_counts(rejected_values(spark, folder))
+
+
 def rule_mapping(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
     names = {"AUTOMOBILE": "自動車", "BUILDING": "建築", "MACHINERY": "機械"}
@@ -286,6 +305,8 @@ QUERIES = {
     "cdm_union": cdm_union,
     "cdm_from_files": cdm_from_files,
     "published_feeds": published_feeds,
+    "rejected_values": rejected_values,
+    "rejected_counts": rejected_counts,
     "cdm_counts": cdm_counts,
     "expect_metrics": expect_metrics,
     "expect_or_drop": expect_or_drop,
@@ -353,6 +374,18 @@ ORACLES = {
     "cdm_union": f"{_MODEL} SELECT * FROM model",
     "cdm_from_files": f"{_MODEL} SELECT * FROM model",
     "published_feeds": f"{_MODEL} SELECT * FROM model WHERE employee_id IS NOT NULL",
+    "rejected_values": """
+        SELECT o_orderkey, 'amount' AS "column", 'cast' AS rule, '非公開' AS raw
+        FROM orders WHERE o_orderkey % 9 = 0 AND o_orderkey % 5 <> 0
+        UNION ALL
+        SELECT o_orderkey, 'ordered_on', 'date_format', 'invalid_date' FROM orders WHERE o_orderkey % 8 = 0
+    """,
+    "rejected_counts": """
+        SELECT 'amount' AS "column", 'cast' AS rule, count(*) AS n_rejected
+        FROM orders WHERE o_orderkey % 9 = 0 AND o_orderkey % 5 <> 0
+        UNION ALL
+        SELECT 'ordered_on', 'date_format', count(*) FROM orders WHERE o_orderkey % 8 = 0
+    """,
     "cdm_counts": f"""{_MODEL}
         SELECT source_client, department, count(*) AS count FROM model GROUP BY ALL
     """,

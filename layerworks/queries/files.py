@@ -89,7 +89,28 @@ def published_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _refuse_some(content: bytes) -> str:
+    """Stand-in for a parser that cannot read every file."""
+    if len(content) % 3 == 0:
+        raise ValueError("refused")
+    return content.decode("utf-8")
+
+
+def published_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The files without a text, as published with the other layers."""
+    path = scratch_path(spark, "files")
+    _write_files(table(spark, folder, "documents"), path)
+    config = {**CONFIG, "source": {"path": path, "mode": BATCH, "path_glob_filter": "*.txt"}}
+    datasets = document_datasets(
+        config, parsers={"page": _refuse_some}, types={".txt": "page"}, prefix=fresh_name("docs") + "_"
+    )[:3]
+    publish_all(spark, datasets, scratch_path(spark, "published_quarantine"))
+    *_, quarantine = [detach(spark, dataset.name) for dataset in datasets]
+    return quarantine.select(_part(F.col("file_path")).alias("part"), "source_type", "_corrupt")
+
+
 QUERIES = {
+    "published_quarantine": published_quarantine,
     "ingest_files_batch": ingest_files_batch,
     "ingest_files_stream": ingest_files_stream,
     "published_documents": published_documents,
@@ -111,6 +132,10 @@ _FILES = f"""{_PARTS}
 
 ORACLES = {
     "ingest_files_batch": _FILES,
+    "published_quarantine": f"""{_PARTS}
+        SELECT part, 'page' AS source_type, 'parse_error:ValueError: refused' AS _corrupt
+        FROM files WHERE strlen(text) % 3 = 0
+    """,
     "ingest_files_stream": _FILES,
     "published_documents": f"""{_PARTS}, prepared AS (
             SELECT part AS id, {sql.redact(sql.clean("text"))} AS text FROM files

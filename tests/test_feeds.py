@@ -167,6 +167,20 @@ def test_rules_turn_bad_values_into_null(spark):
     assert [str(row.v) for row in got.collect()] == ["2020-04-01"] + ["None"] * 6
 
 
+def test_rejected_values_are_told_from_missing_ones(spark):
+    rows = [(1, "¥1,200", "x"), (2, "非公開", "2020/04/01"), (3, None, None), (4, "n", "2020-04-01")]
+    df = spark.createDataFrame(rows, "k int, v string, d string")
+    steps = {"v": [{"strip_chars": "¥,"}, {"cast": "integer"}], "d": {"date_format": "yyyy/MM/dd"}}
+    found = rules.rejected_values(df, steps, "k")
+    assert sorted(tuple(row) for row in found.collect()) == [
+        (1, "d", "date_format", "x"), (2, "v", "cast", "非公開"),
+        (4, "d", "date_format", "2020-04-01"), (4, "v", "cast", "n"),
+    ]
+    counts = rules.rejected_counts(found).collect()
+    assert sorted(tuple(row) for row in counts) == [("d", "date_format", 2), ("v", "cast", 2)]
+    assert rules.rejected_values(df, None, "k").count() == 0
+
+
 def test_value_dictionaries(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(["a", "b", "z", None, "B"])], "i int, v string")
     got = rules.apply_rules(df, {"v": {"mapping": {"a": "A", "b": "B", "B": "c"}}})
