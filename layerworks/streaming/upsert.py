@@ -36,8 +36,14 @@ class VersionedTable:
         return df.sparkSession.table(table)
 
     def drop_version(self, spark: SparkSession, number: int) -> None:
-        if number >= 0:
-            drop_table(spark, self.version(number))
+        """Drop a version if there is one; its files in ``folder`` are emptied first, as they outlive it."""
+        table = self.version(number)
+        if number < 0 or not spark.catalog.tableExists(table):
+            return
+        if self.folder:
+            none = spark.createDataFrame([], spark.table(table).schema)
+            overwrite_table(none, table, path=f"{self.folder}/{table}")
+        drop_table(spark, table)
 
     def refresh(self, spark: SparkSession) -> None:
         """Make a session forget what it remembers of files since replaced."""

@@ -100,6 +100,19 @@ def test_versions_in_a_named_schema(spark, tmp_path):
     spark.sql("DROP SCHEMA versions_test CASCADE")
 
 
+def test_files_of_dropped_versions_hold_no_rows(spark, tmp_path, table_names):
+    table = VersionedTable(table_names("freed"), str(tmp_path / "data"))
+    table.write(spark.createDataFrame([(1, "old", 0)], "k int, v string, t int"), 0)
+    folder = str(tmp_path / "events")
+    for number in range(1, 4):
+        write_events(spark, folder, [(number, "x", number)])
+        stream = spark.readStream.schema("k int, v string, t int").parquet(folder)
+        upsert_stream(stream, table, ["k"], ["t"], str(tmp_path / "checkpoint"))
+    held = [spark.read.parquet(str(tmp_path / "data" / table.version(n))).count() for n in range(4)]
+    assert held == [0, 0, 2, 3]
+    assert rows(spark, table) == [(1, "x", 1), (2, "x", 2), (3, "x", 3)]
+
+
 def test_ingest_time_is_one_per_batch(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"{i}.md").write_text("x")
