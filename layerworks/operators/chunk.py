@@ -29,7 +29,8 @@ GOLD_COLUMNS = (
 _HEADING_AHEAD = f"\\n(?=#{{1,6}}[{INLINE_SPACE}])"
 _BLANK_LINES = f"\\n[{WHITESPACE}]*\\n"
 _GAP = "\n\n"
-_BLOCK = 128
+_BLOCK = 64
+_LEVELS = 2
 
 
 def _strings() -> Column:
@@ -44,9 +45,9 @@ def _fold_chunks(
 ) -> Column:
     """Fold items into ``chunks`` and what is carried from item to item.
 
-    A fold copies its whole state at each step.  So that a long document does not
-    copy all its chunks with every item, items are folded in runs of ``_BLOCK``,
-    and the chunks of a run are added to those before it at its end.
+    A fold copies its list of chunks at each step.  So that a long document does not
+    copy all its chunks with every item, items are folded in runs of ``_BLOCK``, and
+    these in runs of runs: at each level a chunk is only copied with the runs beside it.
     """
 
     def state(chunks: Column, source: Column | None = None) -> Column:
@@ -54,21 +55,27 @@ def _fold_chunks(
         named = [value.alias(name) for name, value in zip(carried, values, strict=True)]
         return F.struct(chunks.alias("chunks"), *named)
 
-    def fold_block(before: Column, block: Column) -> Column:
-        # Added by the fold's own last step: a bound value is copied, all its texts too.
-        return F.aggregate(
-            block,
-            state(_strings(), before),
-            extend,
-            lambda after: state(F.concat(before.chunks, after.chunks), after),
-        )
-
-    def blocks(items: Column) -> Column:
+    def runs(items: Column, length: int) -> Column:
         last = F.greatest(F.size(items) - 1, F.lit(0))
-        starts = F.sequence(F.lit(0), last, F.lit(_BLOCK))
-        return F.transform(starts, lambda start: F.slice(items, start + 1, F.lit(_BLOCK)))
+        starts = F.sequence(F.lit(0), last, F.lit(length))
+        return F.transform(starts, lambda start: F.slice(items, start + 1, F.lit(length)))
+
+    def fold(items: Column, start: Column, level: int, last: Callable[[Column], Column]) -> Column:
+        if level == 0:
+            return F.aggregate(items, start, extend, last)
+
+        def add(before: Column, run: Column) -> Column:
+            # Joined by the fold's own last step: a bound value is copied, all its texts too.
+            return fold(
+                run,
+                state(_strings(), before),
+                level - 1,
+                lambda after: state(F.concat(before.chunks, after.chunks), after),
+            )
+
+        return F.aggregate(bind(items, lambda items: runs(items, _BLOCK**level)), start, add, last)
 
-    return F.aggregate(bind(items, blocks), state(_strings()), fold_block, finish)
+    return fold(items, state(_strings()), _LEVELS, finish)
 
 
 def _section(text: Column) -> Column:
