@@ -40,10 +40,15 @@ def test_row_local_queries_do_not_shuffle(spark, plan):
 
 
 def test_known_small_sides_are_broadcast(spark, plan):
-    for name in ("join_dimension", "join_literal_rows", "rule_mapping_long"):
+    for name in ("join_dimension", "join_literal_rows"):
         assert "BroadcastHashJoin" in plan(QUERIES[name](spark, FOLDER)), name
 
 
+def test_value_dictionaries_need_no_join(spark, plan):
+    for name in ("rule_mapping", "rule_mapping_long"):
+        assert "Join" not in plan(QUERIES[name](spark, FOLDER)), name
+
+
 @pytest.mark.parametrize("name", ["doc_dedup", "doc_silver", "doc_gold", "newest_event"])
 def test_copies_are_merged_before_the_only_shuffle(spark, plan, name):
     text = plan(QUERIES[name](spark, FOLDER))
