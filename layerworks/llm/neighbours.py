@@ -6,7 +6,8 @@ neighbours and a share of those it is a neighbour of), since neighbours of neigh
 neighbours.  Joins bring the vectors to the nodes, so no task holds more than a neighbourhood.
 
 Vectors of unequal length get one more component that makes their lengths equal; nearness in the
-graph is then the distance, and inner products with a query are unchanged.
+graph is then the distance, and inner products with a query are unchanged.  The longest vectors are
+far from all others there but near many queries, so every search looks at them too.
 """
 
 from __future__ import annotations
@@ -30,18 +31,22 @@ KEPT, NAMED, SUGGESTED = 50, 30, 8
 VISITS = 200
 #: Nodes of a bucket of the first graph.
 BUCKET = 400
+#: Longest vectors that every search starts with.
+LONGEST = 96
 GRAPH = "node long, ids array<long>, sims array<float>, fresh array<boolean>"
 
 
 @dataclass
 class Index:
-    """``classes`` (node, ids): equal vectors; ``nodes`` (node, code): a vector in bytes;
-    ``graph``: neighbours of each node, best first; ``step``: what one unit of a byte stands for."""
+    """``classes`` (node, ids): equal vectors; ``nodes`` (node, code): a vector's components as
+    floats, divided by ``step``; ``graph``: neighbours of each node, best first; ``longest``: nodes
+    and vectors (rows, divided by ``step``) that every search starts with."""
 
     classes: DataFrame
     nodes: DataFrame
     graph: DataFrame
     step: float
+    longest: tuple[np.ndarray, np.ndarray]
 
 
 def _limited(rows: DataFrame, key: str, order: Column, most: int) -> DataFrame:
@@ -60,13 +65,25 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
 def _codes(column: pa.Array) -> np.ndarray:
     """Vectors of a column of equally long byte strings."""
     rows = len(column)
-    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(rows, -1).astype(np.float32)
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(rows, -1)
+
+
+def _nearness(vectors: np.ndarray) -> np.ndarray:
+    """Minus the distance of all pairs.  Taken from their middle, so that tight groups keep their digits."""
+    apart = vectors.astype(np.float64)
+    apart -= apart.mean(axis=0)
+    squares = (apart**2).sum(axis=1)
+    sims = apart @ apart.T
+    sims *= 2
+    sims -= squares[:, None]
+    sims -= squares[None, :]
+    return -np.sqrt(np.maximum(-sims, 0)).astype(np.float32)
 
 
 def build(rows: DataFrame, copies: int = 21, rounds: int = 6, tables: int = 4, seed: int = 1) -> Index:
     """Index (id, vec) rows of one dimension.  ``copies``: ids kept of equal vectors, the smallest.
 
-    Graph and search use vectors rounded to a byte per component; answers are scored exactly.
+    Graph and search use single precision, divided by a power of two (``step``); answers are scored exactly.
     """
     keyed = rows.select("id", F.xxhash64("vec").alias("h1"), F.xxhash64("vec", F.lit(1)).alias("h2")).withColumn("h", F.struct("h1", "h2"))
     first = _limited(keyed, "h", F.col("id"), copies).groupBy("h").agg(F.array_sort(F.collect_set("id")).alias("ids"))
@@ -75,26 +92,28 @@ def build(rows: DataFrame, copies: int = 21, rounds: int = 6, tables: int = 4, s
     found = rows.agg(F.max(squares).alias("m"), F.max(F.size("vec")).alias("d"), F.max(F.array_max(F.transform("vec", lambda x: F.abs(x)))).alias("x"), F.min(squares).alias("l")).first()
     most, size = (found["m"] or 0.0), (found["d"] or 1)
     missing = float(np.sqrt(max(0.0, most - (found["l"] or 0.0))))
-    step = max(found["x"] or 1.0, missing) / 127
+    step = float(2.0 ** np.ceil(np.log2(max(found["x"] or 1.0, missing))))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 exact = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
                 spare = np.sqrt(np.maximum(most - (exact**2).sum(axis=1, keepdims=True), 0))
-                bytes_of = np.rint(np.hstack([exact, spare]) / step).astype(np.int8)
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([r.tobytes() for r in bytes_of], pa.binary())], ["node", "code"])
+                parts = (np.hstack([exact, spare]) / step).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([r.tobytes() for r in parts], pa.binary())], ["node", "code"])
 
     own = rows.join(classes.select("node"), F.col("id") == F.col("node")).dropDuplicates(["node"]).select("node", "vec")
     nodes = stored(own.mapInArrow(coded, "node long, code binary"), "ann-nodes")
-    graph = stored(_first_graph(nodes, size + 1, tables, seed), "ann-graph0")
+    tops = own.orderBy(squares.desc(), "node").limit(LONGEST).collect()
+    longest = np.array([r["node"] for r in tops], np.int64), np.array([r["vec"] for r in tops], float).reshape(len(tops), size) / step
+    graph = stored(_first_graph(nodes, size, tables, seed), "ann-graph0")
     total = nodes.count()
     for number in range(1, rounds + 1):
         graph = stored(_round(graph, nodes), f"ann-graph{number}")
         changed = graph.select(F.sum(F.size(F.filter("fresh", lambda f: f))).alias("n")).first()["n"] or 0
         if changed <= 0.03 * KEPT * total:
             break
-    return Index(classes, nodes, graph, step)
+    return Index(classes, nodes, graph, step, longest)
 
 
 def _first_graph(nodes: DataFrame, size: int, tables: int, seed: int) -> DataFrame:
@@ -106,7 +125,7 @@ def _first_graph(nodes: DataFrame, size: int, tables: int, seed: int) -> DataFra
         weights = 1 << np.arange(bits)
         for batch in batches:
             if batch.num_rows:
-                sides = (_codes(batch.column("code")) @ planes > 0).reshape(-1, tables, bits)
+                sides = (_codes(batch.column("code"))[:, :-1] @ planes > 0).reshape(-1, tables, bits)
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list((sides * weights).sum(axis=2)), pa.list_(pa.int64()))], ["node", "codes"])
 
     codes = stored(nodes.mapInArrow(signed, "node long, codes array<long>"), "ann-codes")
@@ -118,9 +137,8 @@ def _first_graph(nodes: DataFrame, size: int, tables: int, seed: int) -> DataFra
     placed = each.join(counts, ["table", "sign"]).select("node", "table", "sign", split.alias("part"))
 
     def near(frame: pd.DataFrame) -> pd.DataFrame:
-        vectors = _codes(pa.array(frame["code"]))
         names = frame["node"].to_numpy()
-        sims = vectors @ vectors.T
+        sims = _nearness(_codes(pa.array(frame["code"])))
         np.fill_diagonal(sims, -np.inf)
         take = min(KEPT // 2, len(names) - 1)
         best = np.argsort(-sims, axis=1, kind="stable")[:, :take]
@@ -200,7 +218,7 @@ def _compared(around: pa.ListArray) -> pa.RecordBatch:
     names, counts, ids, scores = [], [], [], []
     for a, b in zip(ends, ends[1:]):
         own, new, part = others[a:b], fresh[a:b], vectors[a:b]
-        sims = part @ part.T
+        sims = _nearness(part)
         sims[~(new[:, None] | new[None, :]) | (sims <= worst[a:b, None])] = -np.inf
         np.fill_diagonal(sims, -np.inf)
         take = min(SUGGESTED, len(own))
@@ -223,13 +241,14 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 96, width:
     """(query, vec, found): the ``beam`` best nodes found for each (query, vec, start), best first.
 
     In every round each query looks at the neighbours of its ``width`` best nodes not looked at
-    yet; a query is done when its ``k`` best have all been looked at.  ``start`` holds nodes.
+    yet; a query is done when its ``k`` best have all been looked at.  ``start`` holds nodes; the
+    longest vectors are looked at besides.
     """
     schema = "query long, vec array<double>, pool array<struct<id: long, sim: double, seen: boolean>>, next array<long>"
     none = F.array().cast("array<struct<id: long, sim: double, seen: boolean>>")
     links = index.graph.select("node", "ids")
     fresh = queries.select("query", F.col("vec").cast("array<double>").alias("vec"), none.alias("pool"), F.col("start").alias("next"))
-    state = stored(_looked(fresh, fresh.select("query", F.explode("next").alias("other")), index, k, beam, width, schema), "ann-search")
+    state = stored(_looked(fresh, fresh.select("query", F.explode("next").alias("other")), index, k, beam, width, schema, index.longest), "ann-search")
     for number in range(rounds):
         if state.where(F.size("next") > 0).isEmpty():
             break
@@ -238,7 +257,9 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 96, width:
     return state.select("query", "vec", F.col("pool.id").alias("found"))
 
 
-def _looked(state: DataFrame, candidates: DataFrame, index: Index, k: int, beam: int, width: int, schema: str) -> DataFrame:
+def _looked(
+    state: DataFrame, candidates: DataFrame, index: Index, k: int, beam: int, width: int, schema: str, besides: tuple[np.ndarray, np.ndarray] | None = None
+) -> DataFrame:
     codes = index.nodes.select(F.col("node").alias("other"), "code")
     near = candidates.join(codes, "other").groupBy("query").agg(F.collect_list(F.struct("other", "code")).alias("new"))
 
@@ -249,9 +270,11 @@ def _looked(state: DataFrame, candidates: DataFrame, index: Index, k: int, beam:
             for query, vec, pool, new in zip(*(batch.column(c) for c in ("query", "vec", "pool", "new"))):
                 best = {p["id"]: (p["sim"], p["seen"]) for p in pool.as_py()}
                 ask = vec.values.to_numpy()
+                looks = [(besides[0], besides[1] @ ask)] if besides is not None else []
                 if new.is_valid and len(new.values):
-                    ids = new.values.field("other").to_numpy()
-                    sims = _codes(new.values.field("code"))[:, : len(ask)] @ ask.astype(np.float32)
+                    codes = _codes(new.values.field("code"))[:, : len(ask)].astype(np.float64)
+                    looks.append((new.values.field("other").to_numpy(), codes @ ask))
+                for ids, sims in looks:
                     take = np.argpartition(-sims, beam)[:beam] if len(sims) > beam else np.arange(len(sims))
                     for name, sim in zip(ids[take].tolist(), sims[take].tolist()):
                         best.setdefault(name, (sim, False))

@@ -71,3 +71,27 @@ def test_few_rows(spark, count):
     got = answers(neighbours.nearest(vectors, F.col("vec_id") % 20 == 0))
     expected = brute(rows, lambda i: True, 20) if count else {}
     assert got == {q: e for q, e in expected.items() if e}
+
+
+def long_one(rng, base):
+    """The table with one vector a hundred times as long as the others."""
+    far = rng.normal(size=base.shape[1])
+    return np.vstack([base, far / np.linalg.norm(far) * 100])
+
+
+def near_copies(rng, base):
+    """The table with 3000 near copies of one vector, all of length one."""
+    group = base[0] + rng.uniform(1e-4, 3e-3, size=(3000, 1)) * rng.normal(size=(3000, base.shape[1]))
+    return np.vstack([base, group / np.linalg.norm(group, axis=1, keepdims=True)])
+
+
+@pytest.mark.parametrize("table, least", [(long_one, 0.95), (near_copies, 0.9)])
+def test_recall_of_uneven_tables(spark, table, least):
+    base = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id")
+    base = np.array([r.embedding for r in base.collect()], float)
+    rows = [(i, v.tolist()) for i, v in enumerate(table(np.random.default_rng(3), base))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(neighbours.nearest(vectors, F.col("vec_id") % 20 == 0))
+    expected = brute(rows, lambda i: i % 20 == 0, 20)
+    assert got.keys() == expected.keys()
+    assert recall(got, expected) >= least
