@@ -16,6 +16,8 @@ from layerworks.session import scratch_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A language must be this much likelier than all others together.
 LEAST_SCORE = 0.5
+#: Matches texts with a word.
+SOME_WORD = r"[^\x20\x09-\x0D]"
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -32,14 +34,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an equal or near line precedes; a document of such lines only goes."""
     rows = lines.dedup_lines(docs.select(*COLUMNS))
-    return _measured(rows.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
+    return _measured(rows.where((F.col("n_removed") == 0) | F.col("text").rlike(SOME_WORD)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    classes = jaccard.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(classes, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.select(*COLUMNS).dropDuplicates(["doc_id"])
+    """One row of each group of near copies: that with the smallest id, null being the largest, then
+    the smallest hash of its text.  Ids may repeat or be null; texts without words all stay."""
+    rows = docs.select(*COLUMNS)
+    worded = F.coalesce(F.col("text").rlike(SOME_WORD), F.lit(False))
+    classes = jaccard.near_duplicates(rows.where(worded), row_keys=True)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = classes.groupBy("class_key").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    hashed = rows.where(worded).withColumn("_text_hash", F.xxhash64("text"))
+    kept = hashed.join(first, hashed["doc_id"].eqNullSafe(F.col("_id")) & (hashed["_text_hash"] == F.col("_hash")), "left_semi")
+    # Rows with equal id and text are copies.
+    once = kept.groupBy("doc_id", "_text_hash").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")).select("doc_id", "row.*")
+    return once.select(*COLUMNS).unionByName(rows.where(~worded))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,7 +63,7 @@ def signatures(texts: list[str | None], bands: int, rows: int, width: int) -> tu
     return sizes, one, two, keys
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, recall: float = 0.9999, width: int = WIDTH) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, recall: float = 0.9999, width: int = WIDTH, row_keys: bool = False) -> DataFrame:
     """One row per document: (id, class_id, set_id, n_links).
 
     ``class_id`` is the smallest id of all documents connected by links, ``set_id`` that of the
@@ -74,9 +74,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A text without words (or null) has no shingles and no links: class and set are its own id.  A
     text of fewer than five words has one shingle.  Null ids are allowed and count as smallest only
     if the whole class has none else.  Repeated rows are equal sets.  No rows give no rows.
+
+    Several classes can have one ``class_id`` where ids repeat or are null.  With ``row_keys`` each
+    row has ``class_key``, which no two classes share (null without words), and ``text_hash``
+    (xxhash64 of the text) besides.
     """
     bands, rows = bands_and_rows(threshold, recall)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    hashes = ["text_hash"] if row_keys else []
+    hashed = base.select("id", "text", *[F.xxhash64("text").alias(h) for h in hashes])
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,11 +91,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 flat = pa.array(_signed(keys.ravel()))
                 ends = pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(sizes.astype(np.int32)), pa.array(_signed(one)), pa.array(_signed(two)), pa.ListArray.from_arrays(ends, flat)],
-                    ["id", "n", "s1", "s2", "bands"],
+                    [*[part.column(c) for c in ("id", *hashes)], pa.array(sizes.astype(np.int32)), pa.array(_signed(one)), pa.array(_signed(two)), pa.ListArray.from_arrays(ends, flat)],
+                    ["id", *hashes, "n", "s1", "s2", "bands"],
                 )
 
-    marks = stored(base.mapInArrow(signed, "id long, n int, s1 long, s2 long, bands array<long>"), "jaccard-signatures")
+    columns = ", ".join(f"{c} long" for c in ("id", *hashes))
+    marks = stored(hashed.mapInArrow(signed, f"{columns}, n int, s1 long, s2 long, bands array<long>"), "jaccard-signatures")
     # A class is named by the hash of its set.
     classes = stored(
         marks.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")),
@@ -100,7 +107,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = stored(keyed.join(shared, "key").where("node != center").select(F.col("node").alias("u"), F.col("center").alias("v")).distinct(), "jaccard-edges")
     groups = stored(components(edges), "jaccard-groups")
     links = stored(_links(base, classes, groups, threshold, width), "jaccard-links")
-    return _joined(marks, classes, links).withColumnRenamed("id", id_col)
+    return _joined(marks, classes, links, hashes).withColumnRenamed("id", id_col)
 
 
 def _links(base: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float, width: int) -> DataFrame:
@@ -183,7 +190,7 @@ def _compared(block: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"node": nodes, "links": links.astype(np.int64), "label": nodes[label], "split": bool(first != second)})
 
 
-def _joined(marks: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(marks: DataFrame, classes: DataFrame, links: DataFrame, hashes: list[str]) -> DataFrame:
     counts = links.groupBy("node").agg(F.sum("links").alias("links"), F.max("split").alias("split"), F.min("label").alias("label"))
     # A group in one block is connected already; trees of several blocks are put together.
     several = links.join(counts.where("split").select("node"), "node", "left_semi").select(F.col("node").alias("u"), F.col("label").alias("v"))
@@ -193,6 +200,7 @@ def _joined(marks: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame
         "s1", F.col("least").alias("set_id"), "copies", F.coalesce("label", "s1").alias("label"), F.coalesce("links", F.lit(0)).alias("links")
     )
     least = sets.groupBy("label").agg(F.min("set_id").alias("class_id"))
-    named = stored(sets.join(least, "label").select("s1", "set_id", "class_id", (F.col("copies") - 1 + F.col("links")).alias("n_links")), "jaccard-named")
-    alone = marks.where("n = 0").select("id", F.col("id").alias("class_id"), F.col("id").alias("set_id"), F.lit(0).cast("long").alias("n_links"))
-    return marks.where("n > 0").select("id", "s1").join(named, "s1").select("id", "class_id", "set_id", "n_links").unionByName(alone)
+    named = stored(sets.join(least, "label").select("s1", "set_id", "class_id", (F.col("copies") - 1 + F.col("links")).alias("n_links"), F.col("label").alias("class_key")), "jaccard-named")
+    keys = ["class_key", *hashes] if hashes else []
+    alone = marks.where("n = 0").select("id", F.col("id").alias("class_id"), F.col("id").alias("set_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("class_key"), *hashes).select("id", "class_id", "set_id", "n_links", *keys)
+    return marks.where("n > 0").select("id", *hashes, "s1").join(named, "s1").select("id", "class_id", "set_id", "n_links", *keys).unionByName(alone)
