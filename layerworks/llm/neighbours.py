@@ -2,8 +2,11 @@
 
 Equal vectors are one node that keeps its smallest ids.  A first graph comes from random
 projections; then, round by round, each node compares the nodes around it with each other (its
-neighbours and a share of those it is a neighbour of), since neighbours of neighbours tend to be
-neighbours.  Joins bring the vectors to the nodes, so no task holds more than a neighbourhood.
+neighbours and those it is a neighbour of), since neighbours of neighbours tend to be neighbours.
+Joins bring the vectors to the nodes, so no task holds more than a neighbourhood.  A node that many
+others name has several neighbourhoods, each with its own neighbours and a part of those others;
+the parts are dealt anew in each round, and each link is used in every round.  Two of those others
+in different parts are not compared there, so that a hub costs a part per ``NAMED`` and not a square.
 
 Vectors of unequal length get one more component that makes their lengths equal; nearness in the
 graph is then the distance, and inner products with a query are unchanged.  The longest vectors are
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,11 +28,10 @@ from pyspark.sql import functions as F
 
 from layerworks.llm.common import stored
 
-#: Neighbours a node keeps, how many that name it are taken into a round, and how many a node
-#: suggests to each node around it.
-KEPT, NAMED, SUGGESTED = 50, 30, 8
-#: Nodes whose neighbourhoods a node takes part in, in one round.
-VISITS = 200
+#: Neighbours a node keeps, and about how many of those that name it are in one neighbourhood.
+KEPT, NAMED = 50, 100
+#: Share of new links below which the graph is done.
+OPEN = 0.01
 #: Nodes of a bucket of the first graph.
 BUCKET = 400
 #: Longest vectors that every search starts with.
@@ -80,7 +83,7 @@ def _nearness(vectors: np.ndarray) -> np.ndarray:
     return -np.sqrt(np.maximum(-sims, 0)).astype(np.float32)
 
 
-def build(rows: DataFrame, copies: int = 21, rounds: int = 6, tables: int = 4, seed: int = 1) -> Index:
+def build(rows: DataFrame, copies: int = 21, tables: int = 4, seed: int = 1) -> Index:
     """Index (id, vec) rows of one dimension.  ``copies``: ids kept of equal vectors, the smallest.
 
     Graph and search use single precision, divided by a power of two (``step``); answers are scored exactly.
@@ -108,11 +111,11 @@ def build(rows: DataFrame, copies: int = 21, rounds: int = 6, tables: int = 4, s
     longest = np.array([r["node"] for r in tops], np.int64), np.array([r["vec"] for r in tops], float).reshape(len(tops), size) / step
     graph = stored(_first_graph(nodes, size, tables, seed), "ann-graph0")
     total = nodes.count()
-    for number in range(1, rounds + 1):
-        graph = stored(_round(graph, nodes), f"ann-graph{number}")
+    number, changed = 0, total * KEPT
+    while changed > OPEN * KEPT * total:  # lists only get better, so this ends
+        number += 1
+        graph = stored(_round(graph, nodes, number), f"ann-graph{number}")
         changed = graph.select(F.sum(F.size(F.filter("fresh", lambda f: f))).alias("n")).first()["n"] or 0
-        if changed <= 0.03 * KEPT * total:
-            break
     return Index(classes, nodes, graph, step, longest)
 
 
@@ -181,21 +184,25 @@ def _merged(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(merged, GRAPH)
 
 
-def _around(graph: DataFrame) -> DataFrame:
-    """(node, other, fresh): neighbours of each node, and some of the nodes it is a neighbour of."""
+def _around(graph: DataFrame, number: int) -> DataFrame:
+    """(node, part, other, fresh): neighbours of each node, and a part of the nodes it is a neighbour of."""
     zipped = F.explode(F.arrays_zip("ids", "fresh")).alias("x")
     ahead = graph.select("node", zipped).select("node", F.col("x.ids").alias("other"), F.col("x.fresh").alias("fresh"))
     back = ahead.select(F.col("other").alias("node"), F.col("node").alias("other"), "fresh")
-    back = _limited(back, "node", F.xxhash64("node", "other"), NAMED)
-    ahead = _limited(ahead, "other", F.xxhash64("other", "node"), VISITS)
-    return ahead.unionByName(back).groupBy("node", "other").agg(F.max("fresh").alias("fresh"))
+    parts = back.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / NAMED).cast("int").alias("parts"))
+    dealt = F.pmod(F.xxhash64("node", "other", F.lit(number)), F.col("parts")).cast("int")
+    back = back.join(parts, "node").select("node", dealt.alias("part"), "other", "fresh")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    ahead = graph.join(parts, "node", "left").select("node", each, "ids", "fresh").select("node", "part", zipped)
+    ahead = ahead.select("node", "part", F.col("x.ids").alias("other"), F.col("x.fresh").alias("fresh"))
+    return ahead.unionByName(back).groupBy("node", "part", "other").agg(F.max("fresh").alias("fresh"))
 
 
-def _round(graph: DataFrame, nodes: DataFrame) -> DataFrame:
+def _round(graph: DataFrame, nodes: DataFrame, number: int) -> DataFrame:
     """Compare the nodes around each node with each other, where one of the two is new there."""
     worst = F.when(F.size("sims") >= KEPT, F.array_min("sims")).otherwise(F.lit(float("-inf"))).cast("float")
     points = nodes.join(graph.select("node", worst.alias("worst")), "node").select(F.col("node").alias("other"), "code", "worst")
-    gathered = _around(graph).join(points, "other").groupBy("node").agg(F.collect_list(F.struct("other", "fresh", "code", "worst")).alias("around"))
+    gathered = _around(graph, number).join(points, "other").groupBy("node", "part").agg(F.collect_list(F.struct("other", "fresh", "code", "worst")).alias("around"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +228,7 @@ def _compared(around: pa.ListArray) -> pa.RecordBatch:
         sims = _nearness(part)
         sims[~(new[:, None] | new[None, :]) | (sims <= worst[a:b, None])] = -np.inf
         np.fill_diagonal(sims, -np.inf)
-        take = min(SUGGESTED, len(own))
+        take = min(KEPT, len(own))
         best = np.argpartition(-sims, take - 1, axis=1)[:, :take]
         value = np.take_along_axis(sims, best, axis=1)
         good = np.isfinite(value)
@@ -231,13 +238,38 @@ def _compared(around: pa.ListArray) -> pa.RecordBatch:
         counts.append(count[some])
         ids.append(own[best][good])
         scores.append(value[good])
-    names, counts, ids, scores = (np.concatenate(x) if x else np.empty(0) for x in (names, counts, ids, scores))
+    names, counts, ids, scores = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (names, counts, ids, scores))
+    names, counts, ids, scores = _few_of_hubs(names, counts, ids, scores)
     ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
     lists = [pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int64))), pa.ListArray.from_arrays(ends, pa.array(scores.astype(np.float32)))]
     return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), *lists], ["node", "new_ids", "new_sims"])
 
 
-def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 96, width: int = 24, rounds: int = 6) -> DataFrame:
+def _few_of_hubs(names: np.ndarray, counts: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The lists of a node that has many are made one of its ``KEPT`` best: no more can be kept."""
+    own, place = np.unique(names, return_inverse=True)
+    many = np.bincount(place, weights=counts, minlength=len(own)) > 4 * KEPT
+    if not many.any():
+        return names, counts, ids, scores
+    here = np.repeat(many[place], counts)
+    owner, some, value = np.repeat(place, counts)[here], ids[here], scores[here]
+    order = np.lexsort((some, owner))
+    owner, some, value = owner[order], some[order], value[order]
+    first = np.ones(len(some), bool)
+    first[1:] = (some[1:] != some[:-1]) | (owner[1:] != owner[:-1])
+    owner, some, value = owner[first], some[first], value[first]
+    order = np.lexsort((some, -value, owner))
+    owner, some, value = owner[order], some[order], value[order]
+    keep = np.arange(len(owner)) - np.searchsorted(owner, owner) < KEPT
+    hubs, sizes = np.unique(owner[keep], return_counts=True)
+    rest = ~many[place]
+    return (
+        np.concatenate([names[rest], own[hubs]]), np.concatenate([counts[rest], sizes]),
+        np.concatenate([ids[~here], some[keep]]), np.concatenate([scores[~here], value[keep]]),
+    )
+
+
+def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 96, width: int = 24) -> DataFrame:
     """(query, vec, found): the ``beam`` best nodes found for each (query, vec, start), best first.
 
     In every round each query looks at the neighbours of its ``width`` best nodes not looked at
@@ -249,12 +281,14 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 96, width:
     links = index.graph.select("node", "ids")
     fresh = queries.select("query", F.col("vec").cast("array<double>").alias("vec"), none.alias("pool"), F.col("start").alias("next"))
     state = stored(_looked(fresh, fresh.select("query", F.explode("next").alias("other")), index, k, beam, width, schema, index.longest), "ann-search")
-    for number in range(rounds):
-        if state.where(F.size("next") > 0).isEmpty():
-            break
+    done = []
+    while True:
+        done.append(state.where(F.size("next") == 0).select("query", "vec", F.col("pool.id").alias("found")))
+        state = state.where(F.size("next") > 0)
+        if state.isEmpty():
+            return reduce(DataFrame.unionByName, done)
         frontier = state.select("query", F.explode("next").alias("node")).join(links, "node").select("query", F.explode("ids").alias("other")).distinct()
-        state = stored(_looked(state, frontier, index, k, beam, width, schema), f"ann-search{number}")
-    return state.select("query", "vec", F.col("pool.id").alias("found"))
+        state = stored(_looked(state, frontier, index, k, beam, width, schema), f"ann-search{len(done)}")
 
 
 def _looked(

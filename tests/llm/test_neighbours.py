@@ -95,3 +95,33 @@ def test_recall_of_uneven_tables(spark, table, least):
     expected = brute(rows, lambda i: i % 20 == 0, 20)
     assert got.keys() == expected.keys()
     assert recall(got, expected) >= least
+
+
+def hub_heavy(rng):
+    """Ten vectors in the middle of a wide cloud around one direction, near all others; lengths are one."""
+    middle = np.eye(64)[0]
+    cloud = rng.normal(size=(3000, 64)) / 8
+    table = np.vstack([middle + cloud, middle + rng.normal(size=(10, 64)) * 0.01])
+    return table / np.linalg.norm(table, axis=1, keepdims=True)
+
+
+def test_recall_with_hubs(spark):
+    table = hub_heavy(np.random.default_rng(9))
+    rows = [(i, v.tolist()) for i, v in enumerate(table)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = neighbours.build(neighbours.usable(vectors))
+    named = index.graph.select(F.explode("ids").alias("id")).groupBy("id").count().agg(F.max("count")).first()[0]
+    assert named > 1500
+    got = answers(neighbours.nearest(vectors, F.col("vec_id") % 20 == 0))
+    expected = brute(rows, lambda i: i % 20 == 0, 20)
+    assert got.keys() == expected.keys()
+    assert recall(got, expected) >= 0.9
+
+
+def test_each_link_is_used_in_each_round(spark):
+    graph = spark.createDataFrame([(i, [0], [1.0], [True]) for i in range(1, 2001)], neighbours.GRAPH)
+    one, two = (neighbours._around(graph, n).collect() for n in (1, 2))
+    for rows in (one, two):
+        assert {r.other for r in rows if r.node == 0} == set(range(1, 2001))
+        assert {r.node for r in rows if r.other == 0} == set(range(1, 2001))
+    assert {(r.part, r.other) for r in one if r.node == 0} != {(r.part, r.other) for r in two if r.node == 0}
