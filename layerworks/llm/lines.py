@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from layerworks.llm.common import stored
 
 EXACT_CHARS = 48
+#: Shortest lines that are matched nearly.
 MIN_CHARS = 20
+#: Matches lines with a word.
+SOME_WORD = r"[^\x20\x09-\x0D]"
 
 
 def _half(line: Column, length: Column, side: str) -> Column:
@@ -91,12 +94,14 @@ def within_one_edit(a: Column, b: Column) -> Column:
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int | None = None, near_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with every line removed that has an equal or near line before it.
 
     Order is (document id, place in the document); lines are judged on the input, so a removed
-    line still counts as an earlier one.  Lines are what ``\\n`` separates, as they are; those below
-    ``min_chars`` characters always stay.  All columns are kept, the text is replaced, and
+    line still counts as an earlier one.  Lines are what ``\\n`` separates, as they are.  Those below
+    ``near_chars`` characters go only if an equal line is before them, and those without a word
+    always stay.  ``min_chars`` is one floor instead: all lines below it stay, all others are matched
+    nearly.  All columns are kept, the text is replaced, and
     ``n_lines`` and ``n_removed`` (long) are added, replacing columns of these names.
 
     A null text stays null with no lines; an empty one has one empty line.  A null id comes before
@@ -105,12 +110,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spare = "_lw_"
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     keyed = texts.select("id", F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    keyed = keyed.where(F.length("line") >= min_chars)
+    long = F.length("line") >= (near_chars if min_chars is None else min_chars)
+    keyed = keyed.where(F.col("line").rlike(SOME_WORD) if min_chars is None else long)
     here = F.struct("id", "pos", "t")
     line = F.col("line")
     narrow = keyed.select(
         "id", "pos", "t", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"),
-        *[_half_key(line, role).alias(f"h{role}") for role in range(4)],
+        *[F.when(long, _half_key(line, role)).alias(f"h{role}") for role in range(4)],
     )
     distinct = stored(
         narrow.groupBy("k1", "k2").agg(
@@ -119,7 +125,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "lines-distinct",
     )
     halves = distinct.select("k1", "first", F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"h{r}").alias("h")) for r in range(4)])).alias("x"))
-    halves = halves.select("k1", "first", "x.role", "x.h")
+    halves = halves.select("k1", "first", "x.role", "x.h").where("h is not null")
     crowded = halves.groupBy("h").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a != b").select("h")
     wanted = halves.join(crowded, "h").select(F.col("first.id").alias("id"), F.col("first.t").alias("t"), F.col("first.pos").alias("pos"), "role")
     wanted = stored(wanted.groupBy("id", "t").agg(F.collect_set(F.struct("pos", "role")).alias("wanted")), "lines-wanted")

@@ -85,3 +85,20 @@ def test_long_line_and_no_python(spark, plan):
     out = lines.dedup_lines(docs)
     assert "Python" not in plan(out) and "Arrow" not in plan(out)
     assert {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 0}
+
+
+def test_short_lines_go_if_equal(spark):
+    rng = random.Random(6)
+    words = ["a", "b", "end", "}"]
+    rows = [(doc, "\n".join([" ".join(rng.choice(words) for _ in range(rng.choice([1, 2, 3, 12]))) for _ in range(4)] + ["", " \t"])) for doc in range(30)]
+    seen, expected = [], {}
+    for doc, text in rows:
+        kept, all_lines = [], text.split("\n")
+        for line in all_lines:
+            gone = line.strip() and any(line == s or (min(len(line), len(s)) >= lines.MIN_CHARS and near(line, s)) for s in seen)
+            seen.append(line)
+            if not gone:
+                kept.append(line)
+        expected[doc] = ("\n".join(kept), len(all_lines), len(all_lines) - len(kept))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(docs).collect()} == expected
