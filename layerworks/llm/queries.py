@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerworks.llm import bpe, jaccard, langid, lines, neighbours, packing, passages, quality, toxicity, warc
+from layerworks.llm import bpe, exact, jaccard, langid, lines, neighbours, packing, passages, quality, toxicity, warc
 from layerworks.llm.common import remainder, stored
 from layerworks.session import scratch_path
 
@@ -87,5 +87,24 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op7_nearest_vectors, op8_toxicity, op9_line_dedup, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the equal one that stays: even ids are history, the others arrive."""
+    return exact.dedup_arrivals(_table(spark, folder, "documents"), F.col("doc_id") % 2 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op7_nearest_vectors, op8_toxicity, op9_line_dedup, op10_quality_rules, op13_exact_dedup)}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES: dict[str, str] = {
+    "op13_exact_dedup": f"""
+        WITH hashed AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')) AS text_sha256,
+                   doc_id % 2 = 0 AS historical
+            FROM documents
+        )
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, text_sha256, bool_or(historical) OVER same AS seen
+        FROM hashed WINDOW same AS (PARTITION BY text_sha256)
+    """,
+}
