@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerworks.llm import bpe, exact, jaccard, langid, lines, neighbours, packing, passages, quality, toxicity, warc
+from layerworks.llm import bpe, exact, jaccard, langid, lines, negatives, neighbours, packing, passages, quality, toxicity, warc
 from layerworks.llm.common import remainder, stored
 from layerworks.session import scratch_path
 
@@ -87,16 +87,44 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of other labels that are near, but not too near, every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.whole_vectors(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label))
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the equal one that stays: even ids are history, the others arrive."""
     return exact.dedup_arrivals(_table(spark, folder, "documents"), F.col("doc_id") % 2 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op7_nearest_vectors, op8_toxicity, op9_line_dedup, op10_quality_rules, op13_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op7_nearest_vectors, op8_toxicity, op9_line_dedup, op10_quality_rules, op11_hard_negatives, op13_exact_dedup)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   CAST(list_inner_product(a.vec, b.vec) AS BIGINT) AS score
+            FROM whole AS a JOIN whole AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+    """,
     "op13_exact_dedup": f"""
         WITH hashed AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')) AS text_sha256,
