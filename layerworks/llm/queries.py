@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerworks.llm import bpe, exact, jaccard, langid, lines, negatives, neighbours, packing, passages, quality, toxicity, warc
+from layerworks.llm import alignment, bpe, exact, jaccard, langid, lines, negatives, neighbours, packing, passages, quality, toxicity, warc
 from layerworks.llm.common import remainder, stored
 from layerworks.session import scratch_path
 
@@ -93,12 +93,18 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine(negatives.whole_vectors(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two tokenizers correspond in every whole text, and how usual that is."""
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(_table(spark, folder, "documents"), *paths)
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the equal one that stays: even ids are history, the others arrive."""
     return exact.dedup_arrivals(_table(spark, folder, "documents"), F.col("doc_id") % 2 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op7_nearest_vectors, op8_toxicity, op9_line_dedup, op10_quality_rules, op11_hard_negatives, op13_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_language, op4_pack_sequences, op5_repeated_passages, op6_near_duplicates, op7_nearest_vectors, op8_toxicity, op9_line_dedup, op10_quality_rules, op11_hard_negatives, op12_token_alignment, op13_exact_dedup)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
