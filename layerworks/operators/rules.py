@@ -8,10 +8,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, FractionalType, IntegralType
 
 from layerworks.config import ConfigError, role_names, section
 from layerworks.functions.ids import lookup
+from layerworks.operators.dictionaries import replaced
 
 # Columns of the common data model, in order.
 CDM_COLUMNS = (
@@ -72,28 +72,10 @@ def _steps(rules: Any) -> list[tuple[str, Any]]:
     return steps
 
 
-def _of_type(entry: Any, kind: DataType, column: str) -> Column:
-    """A key or value of a dictionary as the column's type."""
-    try:
-        if isinstance(kind, IntegralType):
-            if isinstance(entry, bool) or int(entry) != float(entry):
-                raise ValueError
-            return F.lit(int(entry)).cast(kind)
-        if isinstance(kind, FractionalType):
-            float(entry)
-            return F.lit(str(entry)).cast(kind)
-    except (TypeError, ValueError):
-        raise ConfigError(f"mapping of {column}: {entry!r} is no {kind.simpleString()}") from None
-    return F.lit(entry).cast(kind)
-
-
 def _typed_mapping(df: DataFrame, column: str, value: Column, entries: Mapping[Any, Any]) -> Column:
     """``map_values`` whose result has the column's type, whatever the size of the dictionary."""
     kind = df.select(value.alias("value")).schema["value"].dataType
-    if not entries:
-        return value
-    pairs = [_of_type(item, kind, column) for entry in entries.items() for item in entry]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), value)
+    return replaced(value, entries, kind, column)
 
 
 def _applied(df: DataFrame, column: str, rules: Any) -> list[tuple[str, Column, Column]]:

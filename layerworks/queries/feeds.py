@@ -205,6 +205,19 @@ def rule_mapping_long(spark: SparkSession, folder: str) -> DataFrame:
     return apply_rules(customer, {"c_name": {"mapping": names}})
 
 
+def rule_mapping_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """Dictionaries of a whole-number, a decimal and a date column; results keep the types."""
+    parts = table(spark, folder, "part").select("p_partkey", "p_size", F.col("p_retailprice").cast("decimal(12,2)").alias("price"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size").cast("int")).alias("day"))
+    return apply_rules(
+        parts,
+        {
+            "p_size": {"mapping": {size: 100 * size for size in range(1, 51, 3)}},
+            "price": {"mapping": {f"{cents // 100}.{cents % 100:02d}": cents for cents in range(90_000, 110_000)}},
+            "day": {"mapping": {"2024-01-11": "1999-12-31", "2024-02-01": "2030-01-01"}},
+        },
+    )
+
+
 def _client_a(spark: SparkSession, folder: str) -> DataFrame:
     """Customers in the shape of client A; some have no number."""
     return table(spark, folder, "customer").select(
@@ -302,6 +315,7 @@ QUERIES = {
     "rule_date": rule_date,
     "rule_mapping": rule_mapping,
     "rule_mapping_long": rule_mapping_long,
+    "rule_mapping_typed": rule_mapping_typed,
     "cdm_union": cdm_union,
     "cdm_from_files": cdm_from_files,
     "published_feeds": published_feeds,
@@ -371,6 +385,18 @@ ORACLES = {
                THEN 'client ' || c_custkey ELSE c_name END AS c_name
         FROM customer
     """,
+    "rule_mapping_typed": """
+        WITH parts AS (
+            SELECT p_partkey, p_size, CAST(p_retailprice AS DECIMAL(12, 2)) AS price,
+                   CAST(DATE '2024-01-01' + CAST(p_size AS INTEGER) AS DATE) AS day
+            FROM part
+        )
+        SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 50 AND p_size % 3 = 1 THEN p_size * 100 ELSE p_size END AS p_size,
+               CASE WHEN price >= 900 AND price < 1100 THEN CAST(price * 100 AS DECIMAL(12, 2)) ELSE price END AS price,
+               CASE day WHEN DATE '2024-01-11' THEN DATE '1999-12-31' WHEN DATE '2024-02-01' THEN DATE '2030-01-01'
+                    ELSE day END AS day
+        FROM parts
+    """,
     "cdm_union": f"{_MODEL} SELECT * FROM model",
     "cdm_from_files": f"{_MODEL} SELECT * FROM model",
     "published_feeds": f"{_MODEL} SELECT * FROM model WHERE employee_id IS NOT NULL",

@@ -1,3 +1,6 @@
+from datetime import date
+from decimal import Decimal
+
 import fixtures
 import pytest
 from pyspark.sql import functions as F
@@ -228,3 +231,41 @@ def test_mapping_keeps_the_type_at_every_size(spark):
         assert [r.s for r in texts.collect()] == ["1001", "x", None]
     with pytest.raises(ConfigError):
         rules.apply_rules(df, {"n": {"mapping": {"one": 2}}})
+
+
+def test_a_large_dictionary_is_built_and_used_quickly(spark):
+    import time
+
+    df = spark.range(0, 200_000, 1, 4).select(F.concat(F.lit("k"), F.col("id")).alias("s"))
+    entries = {f"k{i}": f"v{i}" for i in range(100_000)}
+    started = time.perf_counter()
+    out = rules.apply_rules(df, {"s": {"mapping": entries}})
+    assert time.perf_counter() - started < 2
+    assert out.where("s like 'v%'").count() == 100_000
+    assert time.perf_counter() - started < 30
+
+
+@pytest.mark.parametrize(
+    ("kind", "entries", "values", "expected"),
+    [
+        ("double", {1.5: 2, "1e20": 7, "nan": 0, "-inf": 1}, [1.5, 1e20, float("nan"), float("-inf"), 3.0], [2.0, 7.0, 0.0, 1.0, 3.0]),
+        ("decimal(6,2)", {"1.50": "2.25", 2: 3}, [Decimal("1.50"), Decimal("2.00"), Decimal("9.99")], [Decimal("2.25"), Decimal("3.00"), Decimal("9.99")]),
+        ("boolean", {True: False}, [True, False], [False, False]),
+        ("date", {date(2024, 1, 2): "2020-02-02"}, [date(2024, 1, 2), date(1, 1, 1)], [date(2020, 2, 2), date(1, 1, 1)]),
+        ("long", {-5: 2**62, 2**63 - 1: 0}, [-5, 2**63 - 1, 3], [2**62, 0, 3]),
+        ("string", {"": "empty", "日本": "Japan", 'q"\\': "quoted", True: "yes", "keep": None, None: "never"}, ["", "日本", 'q"\\', "true", "keep", None], ["empty", "Japan", "quoted", "yes", "keep", None]),
+    ],
+)
+def test_dictionaries_of_every_type(spark, kind, entries, values, expected):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    out = rules.apply_rules(df, {"v": {"mapping": entries}})
+    assert dict(out.dtypes)["v"] == dict(df.dtypes)["v"]
+    assert [r.v for r in out.orderBy("i").collect()] == expected
+
+
+def test_keys_that_are_equal_as_the_column_s_type(spark):
+    df = spark.createDataFrame([(1,)], "n int")
+    with pytest.raises(ConfigError, match="twice"):
+        rules.apply_rules(df, {"n": {"mapping": {1: 2, "1": 3}}})
+    with pytest.raises(ConfigError):
+        rules.apply_rules(df, {"n": {"mapping": {True: 3}}})
