@@ -17,26 +17,28 @@ def upsert(
 
     Late events therefore change nothing, and the result does not depend on how events fall into
     batches.  An incoming row wins a tie.  The changes are reduced to a row per key before they
-    meet the target, so the optimiser can broadcast them if they are few.  Order columns that the
-    target lacks are not compared; as in a merge, a null key matches nothing.
+    meet the target.  Order columns that the target lacks are not compared; as in a merge, a null
+    key matches nothing.
     """
     newest = newest_per_key(changes, keys, order_by).select(*target.columns)
+    return merge_newest(target, newest, keys, order_by)
+
+
+def merge_newest(
+    target: DataFrame, newest: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """``upsert`` of changes that have a row per key already.  Both sides are read once."""
     known = [name for name in order_by if name in target.columns]
-    held, fresh = target.alias("held"), newest.alias("fresh")
-    same = F.lit(True)
-    for key in keys:
-        same = same & (F.col(f"held.`{key}`") == F.col(f"fresh.`{key}`"))
-    stays = F.col(f"fresh.`{keys[0]}`").isNull()
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        named = [F.col(f"`{key}`").alias(f"_key_{i}") for i, key in enumerate(keys)]
+        return df.select(*named, F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias(name))
+
+    names = [f"_key_{i}" for i in range(len(keys))]
+    held, fresh = F.col("held"), F.col("fresh")
+    row = F.when(fresh.isNull(), held).when(held.isNull(), fresh)
     if known:
-        stays = stays | (
-            F.struct(*[F.col(f"held.`{name}`") for name in known])
-            > F.struct(*[F.col(f"fresh.`{name}`") for name in known])
-        )
-    updated = held.join(fresh, same, "left").select(
-        *[
-            F.when(stays, F.col(f"held.`{name}`")).otherwise(F.col(f"fresh.`{name}`")).alias(name)
-            for name in target.columns
-        ]
-    )
-    added = newest.join(target.select(*keys), list(keys), "left_anti").select(*target.columns)
-    return updated.unionByName(added)
+        order = [F.struct(*[row_side[name] for name in known]) for row_side in (held, fresh)]
+        row = row.when(order[0] > order[1], held)
+    joined = side(target, "held").join(side(newest, "fresh"), names, "full")
+    return joined.select(row.otherwise(fresh).alias("row")).select("row.*")

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from layerworks.operators.access import attach_access, create_secure_view, visible_rows
 from layerworks.operators.newest import newest_per_key
 from layerworks.operators.upsert import upsert
+from layerworks.plans.buckets import BucketedTable
 from layerworks.queries.documents import CONFIG
 from layerworks.queries.inputs import detach, fresh_name, table
 from layerworks.session import scratch_path
 from layerworks.streaming.upsert import VersionedTable, upsert_stream
+from layerworks.streaming.upsert import upsert_buckets as upsert_stream_buckets
 
 
 def chunk_access(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +95,49 @@ def upsert_streaming(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(detach(spark, target.version(1)))
 
 
+def _bucketed_customers(spark: SparkSession, folder: str) -> BucketedTable:
+    target = BucketedTable(scratch_path(spark, "customers"))
+    target.create(_customers(spark, folder), ["custkey"], 16)
+    return target
+
+
+def upsert_two_streams(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams change one bucketed table; then the first begins again with a new checkpoint."""
+    target = _bucketed_customers(spark, folder)
+    orders = table(spark, folder, "orders")
+    arriving = spark.readStream.schema(orders.schema).parquet(f"{folder.rstrip('/')}/orders.parque[t]")
+    even = F.col("o_orderkey") % 2 == 0
+    for part in (even, ~even, even):
+        events = _order_events(arriving.where(part))
+        upsert_stream_buckets(events, target, NEWEST, scratch_path(spark, "checkpoint"))
+    return _shown(target.read(spark))
+
+
+def upsert_late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Three arrivals of events, the newest first: what comes late changes only keys without newer ones."""
+    target = _bucketed_customers(spark, folder)
+    events = _order_events(table(spark, folder, "orders"))
+    path, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "checkpoint")
+    year = F.year("changed_at")
+    for part in (year >= 1997, (year >= 1995) & (year < 1997), year < 1995):
+        events.where(part).write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(events.schema).parquet(path)
+        upsert_stream_buckets(arriving, target, NEWEST, checkpoint)
+    return _shown(target.read(spark))
+
+
+def upsert_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """A few keys change, so few buckets of the table are written anew."""
+    target = _bucketed_customers(spark, folder)
+    events = _order_events(table(spark, folder, "orders"))
+    target.upsert(events.where(F.col("custkey") <= 10), NEWEST)
+    return _shown(target.read(spark))
+
+
 QUERIES = {
+    "upsert_buckets": upsert_buckets,
+    "upsert_two_streams": upsert_two_streams,
+    "upsert_late_events": upsert_late_events,
     "chunk_access": chunk_access,
     "access_filter": access_filter,
     "secure_view": secure_view,
@@ -142,4 +186,7 @@ ORACLES = {
     """,
     "upsert_latest": _UPSERT,
     "upsert_streaming": _UPSERT,
+    "upsert_two_streams": _UPSERT,
+    "upsert_late_events": _UPSERT,
+    "upsert_buckets": _UPSERT.replace("FROM orders\n", "FROM orders WHERE o_custkey <= 10\n"),
 }
