@@ -120,7 +120,12 @@ def to_silver(extracted: DataFrame) -> DataFrame:
             "ingest_timestamp",
         )
     )
-    return dedup_documents(prepared).select(
+    return silver_rows(dedup_documents(prepared))
+
+
+def silver_rows(documents: DataFrame) -> DataFrame:
+    """The columns of Silver, for documents that are told apart already."""
+    return documents.select(
         "document_id",
         "extracted_text",
         "source_type",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerworks.operators.extract import add_extracted_text
+from layerworks.plans.arrivals import DocumentCollection
 from layerworks.plans.datasets import publish_all
 from layerworks.plans.documents import document_datasets
 from layerworks.plans.tables import append_stream, overwrite_table
@@ -18,6 +19,9 @@ from layerworks.sources.files import BATCH, INCREMENTAL, read_binary, to_bronze
 # Documents per file: some, as a file each would leave a cluster with tiny files.
 PER_FILE = 128
 
+# Added to the group of a file to name its copy.
+COPIES = 1_000_000_000
+
 # Spark's text writer names its files so; they hold Markdown.
 TYPES = {".txt": "md"}
 
@@ -27,7 +31,7 @@ def _write_files(documents: DataFrame, path: str) -> None:
     grouped = documents.select((F.col("doc_id") / PER_FILE).cast("long").alias("part"), "doc_id", "text")
     (
         grouped.repartition("part")
-        .sortWithinPartitions("part", "doc_id")
+        .sortWithinPartitions("part", "doc_id", "text")
         .select("part", "text")
         .write.mode("append")
         .partitionBy("part")
@@ -109,7 +113,62 @@ def published_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return quarantine.select(_part(F.col("file_path")).alias("part"), "source_type", "_corrupt")
 
 
+def _collection(spark: SparkSession, path: str) -> DocumentCollection:
+    config = {**CONFIG, "source": {"path": path, "path_glob_filter": "*.txt"}}
+    return DocumentCollection(scratch_path(spark, "collection"), config, types=TYPES)
+
+
+def _copies(documents: DataFrame, spark: SparkSession) -> DataFrame:
+    """The same texts as other files."""
+    return documents.withColumn("doc_id", F.col("doc_id") + COPIES * PER_FILE)
+
+
+def silver_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Three arrivals of files, copies of earlier ones among them; Silver follows each."""
+    path = scratch_path(spark, "files")
+    documents = table(spark, folder, "documents")
+    third = (F.col("doc_id") / PER_FILE).cast("long") % 3
+    collection = _collection(spark, path)
+    for number in range(3):
+        _write_files(documents.where(third == number), path)
+        if number:
+            _write_files(_copies(documents.where(third == number - 1), spark), path)
+        collection.refresh(spark)
+    silver = collection.silver(spark)
+    return silver.select((_part(F.col("metadata")["file_path"]) % COPIES).alias("part"), "source_type", "extracted_text")
+
+
+def gold_follows_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Files are written; then one gets another text, one goes and one with a copy goes."""
+    path = scratch_path(spark, "files")
+    documents = table(spark, folder, "documents").withColumn("doc_id", F.col("doc_id") % (4 * PER_FILE))
+    copied = F.col("doc_id") < PER_FILE
+    _write_files(documents, path)
+    _write_files(_copies(documents.where(copied), spark), path)
+    collection = _collection(spark, path)
+    collection.refresh(spark)
+    second = (F.col("doc_id") / PER_FILE).cast("long") == 1
+    _replace_file(path, 1, documents.where(second).withColumn("text", F.concat(F.lit("again "), "text")))
+    for part in (0, 2):
+        _replace_file(path, part, documents.where("false").withColumn("part", F.lit(part)))
+    collection.refresh(spark)
+    gold = collection.gold(spark)
+    parts = collection.silver(spark).select("document_id", (_part(F.col("metadata")["file_path"]) % COPIES).alias("part"))
+    return gold.join(parts, "document_id").select("part", "chunk_index", "chunk_text")
+
+
+def _replace_file(path: str, part: int, documents: DataFrame) -> None:
+    """Give the folder of a file other rows; without rows it is left without a file."""
+    rows = documents.orderBy("doc_id", "text").coalesce(1)
+    if rows.isEmpty():
+        rows.select("text", "part").write.mode("overwrite").partitionBy("part").text(f"{path}/part={part}")
+    else:
+        rows.select("text").write.mode("overwrite").text(f"{path}/part={part}")
+
+
 QUERIES = {
+    "silver_arrivals": silver_arrivals,
+    "gold_follows_changes": gold_follows_changes,
     "published_quarantine": published_quarantine,
     "ingest_files_batch": ingest_files_batch,
     "ingest_files_stream": ingest_files_stream,
@@ -137,6 +196,20 @@ ORACLES = {
         FROM files WHERE strlen(text) % 3 = 0
     """,
     "ingest_files_stream": _FILES,
+    "silver_arrivals": f"""{_PARTS}
+        SELECT part, 'md' AS source_type, {sql.redact(sql.clean("text"))} AS extracted_text FROM files
+    """,
+    "gold_follows_changes": f"""
+        WITH rows AS (SELECT doc_id % {4 * PER_FILE} // {PER_FILE} AS part, doc_id % {4 * PER_FILE} AS doc_id, text FROM documents),
+        files AS (
+            SELECT part, string_agg(CASE WHEN part = 1 THEN 'again ' ELSE '' END || text,
+                                    chr(10) ORDER BY doc_id, text) || chr(10) AS text
+            FROM rows WHERE part <> 2 GROUP BY part
+        ), prepared AS (
+            SELECT part AS id, {sql.redact(sql.clean("text"))} AS text FROM files
+        ), {sql.heading_chunks("prepared")}
+        SELECT id AS part, chunk_index, chunk_text FROM heading_chunks
+    """,
     "published_documents": f"""{_PARTS}, prepared AS (
             SELECT part AS id, {sql.redact(sql.clean("text"))} AS text FROM files
         ), {sql.heading_chunks("prepared")}

@@ -68,3 +68,53 @@ def to_bronze(files: DataFrame) -> DataFrame:
         F.current_timestamp().alias("ingest_timestamp"),
         F.lit(None).cast("string").alias(CORRUPT_COLUMN),
     )
+
+
+def list_files(
+    spark: SparkSession, source_path: str, path_glob_filter: str | None = None
+) -> DataFrame:
+    """Path, time of change and length of all files of a folder; no file is opened."""
+    return read_binary_batch(spark, source_path, path_glob_filter).select(
+        F.col("path").alias("file_path"), F.col("modificationTime").alias("modified"), "length"
+    )
+
+
+def compare_listings(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Two listings by path: the columns of both, those of ``now`` first, and ``status``.
+
+    ``status`` is ``added``, ``removed``, ``changed`` (another time or length) or ``same``.  The
+    time and length are those of ``now``, or of a removed file's last listing.
+    """
+    kept = [c for c in before.columns if c not in ("file_path", "modified", "length")]
+    old, new = F.col("old"), F.col("new")
+    joined = before.select("file_path", F.struct(*before.columns).alias("old")).join(
+        now.select("file_path", F.struct(*now.columns).alias("new")), "file_path", "full"
+    )
+    differs = (old["modified"] != new["modified"]) | (old["length"] != new["length"])
+    status = F.when(old.isNull(), "added").when(new.isNull(), "removed").when(differs, "changed")
+    return joined.select(
+        "file_path",
+        F.coalesce(new["modified"], old["modified"]).alias("modified"),
+        F.coalesce(new["length"], old["length"]).alias("length"),
+        *[old[c].alias(c) for c in kept],
+        status.otherwise("same").alias("status"),
+    )
+
+
+def read_listed(
+    spark: SparkSession, source_path: str, listed: DataFrame, path_glob_filter: str | None = None
+) -> DataFrame:
+    """The listed files of a folder with their contents.
+
+    Files older than all listed ones are not opened: the reader is told the oldest time.  Those that
+    are as new without being listed are few, mostly none, and are left out by an anti join; so
+    contents need no shuffle, however many files are listed.
+    """
+    files = read_binary_batch(spark, source_path, path_glob_filter)
+    oldest = listed.agg(F.min("modified")).first()[0]
+    if oldest is None:
+        return files.limit(0)
+    files = files.where(F.col("modificationTime") >= F.lit(oldest))
+    named = listed.select(F.col("file_path").alias("path"))
+    others = files.select("path").join(named, "path", "left_anti")
+    return files if others.isEmpty() else files.join(others, "path", "left_anti")
