@@ -3,8 +3,9 @@
 Every whole text is encoded by a byte-level tokenizer (A) and a piece tokenizer (B) that puts a blank
 before it.  Places where a token of both ends and the next token of both begins with a blank are
 anchors: the bytes before them are the same for both, which is checked for the whole text.  Anchors
-cut a text into windows of ids, mostly a word each.  The same windows come again and again, so each
-pair of id tuples is aligned once and remembered.
+cut a text into windows of ids, mostly a word each.  The same windows come again and again: those of
+some texts are put together by a hash, with all ids compared, and each pair of id tuples is aligned
+once and remembered.
 
 What a text contributes to the corpus are its links, pairs of tokens that end together.  Texts are
 taken in blocks of bounded size; a block keeps its different links once, and each text the places of
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from layerworks.llm.bpe import encoder
 from layerworks.llm.common import stored, text_slices
+from layerworks.llm.shingles import GOLDEN, mixed
 
 #: Bytes of text in a block, about; one text at least.
 BLOCK_BYTES = 8 << 20
@@ -60,47 +62,59 @@ class Pair:
         self.marked = [np.array([t[:1] == b" " for t in table]) for table in (self.bytes_a, self.bytes_b)]
         self.windows: dict[tuple, tuple[str, tuple[int, ...]]] = {}
 
-    def ids(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and B of each text; none where the text is empty or their bytes are not the text's."""
+    def ids(self, texts: list[str]) -> tuple["Tokens", "Tokens"]:
+        """Ids of A and B of all texts; none where a text is empty or their bytes are not the text's."""
         spaced = [" " + text for text in texts]
-        a: list = [self.ranked.encode_ordinary(text) if max(text) < PLAIN else None for text in spaced]
-        rest = [i for i, ids in enumerate(a) if ids is None]
+        first: list = [np.array(self.ranked.encode_ordinary(text)) if max(text) < PLAIN else None for text in spaced]
+        rest = [i for i, ids in enumerate(first) if ids is None]
         for at in range(0, len(rest), 1024):
             some = rest[at : at + 1024]
             for i, code in zip(some, self.library.encode_batch([spaced[i] for i in some], add_special_tokens=False)):
-                a[i] = code.ids
-        out = []
-        for text, data, first, second in zip(texts, spaced, a, self.pieces.encode(texts, num_threads=1)):
-            data = data.encode()
-            same = text and b"".join(map(self.bytes_a.__getitem__, first)) == data == b"".join(map(self.bytes_b.__getitem__, second))
-            out.append((first, second) if same else ([], []))
-        return out
-
-    def cuts(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-        """Tokens of A and of B before each anchor, the end of the text being the last."""
-        x, y = np.array(a), np.array(b)
-        ends_a, ends_b = np.cumsum(self.lengths[0][x]), np.cumsum(self.lengths[1][y])
-        near = np.searchsorted(ends_b, ends_a)  # both end with the text, so every place is inside
+                first[i] = np.array(code.ids)
+        second = [np.array(ids) for ids in self.pieces.encode(texts, num_threads=1)]
+        for i, text in enumerate(spaced):
+            if not texts[i] or not all(b"".join(map(table.__getitem__, ids[i].tolist())) == text.encode() for table, ids in ((self.bytes_a, first), (self.bytes_b, second))):
+                first[i] = second[i] = np.empty(0, np.int64)
+        return Tokens(first), Tokens(second)
+
+    def cuts(self, a: "Tokens", b: "Tokens") -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of A and of B before each anchor.  Every text begins with a blank, so its end is one."""
+        ends_a, ends_b = np.cumsum(self.lengths[0][a.flat]), np.cumsum(self.lengths[1][b.flat])
+        near = np.searchsorted(ends_b, ends_a)  # both have the same bytes, so every place is inside
         shared = np.flatnonzero(ends_b[near] == ends_a)
         other = near[shared]
-        inner = slice(0, len(shared) - 1)  # the last shared end is that of the text
-        anchor = self.marked[0][x[shared[inner] + 1]] & self.marked[1][y[other[inner] + 1]]
-        keep = np.r_[anchor, True]
-        return (shared[keep] + 1).tolist(), (other[keep] + 1).tolist()
-
-    def aligned(self, a: list[int], b: list[int]) -> tuple[list[str], list[int]]:
-        """Of each window its groups as text, and of all windows the links (A's id << 32 | B's id)."""
-        known, groups, links = self.windows, [], []
-        i = j = 0
-        for k, m in zip(*self.cuts(a, b)):
-            key = (tuple(a[i:k]), tuple(b[j:m]))
-            found = known.get(key)
-            if found is None:
-                found = known[key] = self.window(*key)
-            groups.append(found[0])
-            links += found[1]
-            i, j = k, m
-        return groups, links
+        inner = slice(0, max(0, len(shared) - 1))  # the last shared end is that of the last text
+        anchor = self.marked[0][a.flat[shared[inner] + 1]] & self.marked[1][b.flat[other[inner] + 1]]
+        keep = np.r_[anchor, np.ones(len(shared) - len(anchor), bool)]
+        return shared[keep] + 1, other[keep] + 1
+
+    def aligned(self, a: "Tokens", b: "Tokens") -> tuple[list[str], list[np.ndarray]]:
+        """Of each text its groups, as text, and its links (A's id << 32 | B's id)."""
+        ends = self.cuts(a, b)
+        sides = [Windows(side.flat, cut) for side, cut in zip((a, b), ends)]
+        kinds, kind = _different(*sides)
+        found = [self.remembered(*key) for key in zip(*(side.tuples(kinds) for side in sides))]
+        sizes = np.array([len(links) for _, links in found], np.int64)
+        every = np.array([link for _, links in found for link in links], np.int64)
+        # Windows of a text follow each other.
+        bounds = np.searchsorted(ends[0], np.r_[0, np.cumsum(a.sizes)], "right")
+        bounds = np.where(np.r_[0, np.cumsum(a.sizes)] == 0, 0, bounds)
+        names = list(map([groups for groups, _ in found].__getitem__, kind.tolist()))
+        counts = sizes[kind]
+        starts = (np.cumsum(sizes) - sizes)[kind]
+        links = every[np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))]
+        edges = np.r_[0, np.cumsum(counts)][bounds]
+        return [";".join(names[i:j]) for i, j in zip(bounds, bounds[1:])], [links[i:j] for i, j in zip(edges, edges[1:])]
+
+    def remembered(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, tuple[int, ...]]:
+        found = self.windows.get((a, b))
+        if found is None:
+            if len(a) == 1 or len(b) == 1:  # nothing inside can end together
+                found = f"{','.join(map(str, a))}|{','.join(map(str, b))}", (a[-1] << 32 | b[-1],)
+            else:
+                found = self.window(a, b)
+            self.windows[a, b] = found
+        return found
 
     def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, tuple[int, ...]]:
         """The groups between shared ends, and the last tokens of each."""
@@ -121,6 +135,48 @@ class Pair:
         return ";".join(groups), tuple(links)
 
 
+class Tokens:
+    """Ids of many texts end to end, and how many each has."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        self.sizes = np.array([len(ids) for ids in lists], np.int64)
+        self.flat = np.concatenate([*lists, np.empty(0, np.int64)]).astype(np.int64)
+
+
+class Windows:
+    """Ids cut into windows that end before each of some places."""
+
+    def __init__(self, flat: np.ndarray, ends: np.ndarray):
+        self.flat, self.ends = flat, ends
+        self.starts = np.r_[0, ends[:-1]][: len(ends)]
+        self.sizes = self.ends - self.starts
+        self.place = np.arange(len(flat)) - np.repeat(self.starts, self.sizes)
+
+    def hashes(self, salt: int) -> np.ndarray:
+        each = mixed((self.flat.astype(np.uint64) + np.uint64(salt)) * GOLDEN + self.place.astype(np.uint64))
+        return np.add.reduceat(each, self.starts) if len(self.starts) else np.empty(0, np.uint64)
+
+    def same_as(self, others: np.ndarray) -> bool:
+        """Whether each window has the ids of the window at the place given."""
+        if (self.sizes != self.sizes[others]).any():
+            return False
+        return bool((self.flat == self.flat[np.repeat(self.starts[others], self.sizes) + self.place]).all())
+
+    def tuples(self, which: np.ndarray) -> Iterator[tuple[int, ...]]:
+        flat = self.flat.tolist()
+        return (tuple(flat[i:j]) for i, j in zip(self.starts[which].tolist(), self.ends[which].tolist()))
+
+
+def _different(a: Windows, b: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different pair of windows, and for each window which of those it equals."""
+    salt = 0
+    while True:
+        _, first, kind = np.unique(mixed(a.hashes(salt)) + b.hashes(salt + 1), return_index=True, return_inverse=True)
+        if a.same_as(first[kind]) and b.same_as(first[kind]):
+            return first, kind
+        salt += 2  # two windows had one hash
+
+
 @lru_cache(maxsize=2)
 def pair(byte_path: str, piece_path: str) -> Pair:
     """One per worker process."""
@@ -157,13 +213,13 @@ def _block(tokenizers: Pair, held: list[pa.RecordBatch], number: int) -> pa.Reco
         ids += batch.column("id").to_pylist()
         # A slice of texts at a time, so that few token lists are held as objects.
         for part in text_slices(batch, "text", 1 << 20):
-            for a, b in tokenizers.ids(part.column("text").to_pylist()):
-                groups, links = tokenizers.aligned(a, b) if a else ([], [])
-                n_a.append(len(a))
-                n_b.append(len(b))
-                sizes.append(len(links))
-                digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest() if a else "")
-                every.append(np.array(links, np.int64))
+            a, b = tokenizers.ids(part.column("text").to_pylist())
+            groups, links = tokenizers.aligned(a, b)
+            n_a += a.sizes.tolist()
+            n_b += b.sizes.tolist()
+            sizes += [len(x) for x in links]
+            digests += [hashlib.sha256(g.encode()).hexdigest() if n else "" for g, n in zip(groups, a.sizes)]
+            every += links
     flat = np.concatenate(every)
     links, place = np.unique(flat, return_inverse=True)
     totals = np.bincount(place, minlength=len(links))

@@ -123,10 +123,16 @@ def test_counts_of_pairs(spark):
 
 def test_windows_are_remembered():
     pair = alignment.Pair(A, B)
-    (a, b), = pair.ids(["one two three one two three one two"])
-    groups, links = pair.aligned(a, b)
-    assert len(groups) > len(pair.windows) == 3
-    assert len(links) == sum(g.count("|") for g in groups)
+    groups, links = pair.aligned(*pair.ids(["one two three one two three one two", "", "two one"]))
+    assert len(pair.windows) == 3
+    assert [len(x) for x in links] == [g.count("|") for g in groups] == [8, 0, 2]
+
+
+def test_windows_with_one_hash_are_told_apart(monkeypatch):
+    pair = alignment.Pair(A, B)
+    plain = alignment.Windows.hashes
+    monkeypatch.setattr(alignment.Windows, "hashes", lambda self, salt: plain(self, salt) if salt > 3 else plain(self, 0) * 0)
+    assert pair.aligned(*pair.ids(["some words here"]))[0] == alignment.Pair(A, B).aligned(*pair.ids(["some words here"]))[0]
 
 
 def test_no_rows_and_clashing_columns(spark):
