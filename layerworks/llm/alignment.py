@@ -15,6 +15,7 @@ different link of a block and not for each link of a text, and no task needs all
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -60,22 +61,38 @@ class Pair:
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(number) else piece.replace("▁", " ").encode())
         self.lengths = [np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b)]
         self.marked = [np.array([t[:1] == b" " for t in table]) for table in (self.bytes_a, self.bytes_b)]
+        self.sizes_a, self.sizes_b = ([len(t) for t in table] for table in (self.bytes_a, self.bytes_b))
+        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
         self.windows: dict[tuple, tuple[str, tuple[int, ...]]] = {}
 
     def ids(self, texts: list[str]) -> tuple["Tokens", "Tokens"]:
         """Ids of A and B of all texts; none where a text is empty or their bytes are not the text's."""
         spaced = [" " + text for text in texts]
-        first: list = [np.array(self.ranked.encode_ordinary(text)) if max(text) < PLAIN else None for text in spaced]
+        first: list = [self.ranked.encode_to_numpy(text, disallowed_special=()) if max(text) < PLAIN else None for text in spaced]
         rest = [i for i, ids in enumerate(first) if ids is None]
         for at in range(0, len(rest), 1024):
             some = rest[at : at + 1024]
             for i, code in zip(some, self.library.encode_batch([spaced[i] for i in some], add_special_tokens=False)):
-                first[i] = np.array(code.ids)
-        second = [np.array(ids) for ids in self.pieces.encode(texts, num_threads=1)]
-        for i, text in enumerate(spaced):
-            if not texts[i] or not all(b"".join(map(table.__getitem__, ids[i].tolist())) == text.encode() for table, ids in ((self.bytes_a, first), (self.bytes_b, second))):
-                first[i] = second[i] = np.empty(0, np.int64)
-        return Tokens(first), Tokens(second)
+                first[i] = np.array(code.ids, np.int64)
+        second = [np.array(ids, np.int64) for ids in self.pieces.encode(texts, num_threads=1)]
+        for i in [i for i, text in enumerate(texts) if not text]:
+            first[i] = second[i] = np.empty(0, np.int64)
+        data = [text.encode() if of else b"" for of, text in zip(texts, spaced)]
+        a, b = Tokens(first), Tokens(second)
+        if not all(self._same(side, table, lengths, data) for side, table, lengths in zip((a, b), (self.bytes_a, self.bytes_b), self.lengths)):
+            for i, whole in enumerate(data):
+                if any(b"".join(map(table.__getitem__, ids[i].tolist())) != whole for table, ids in ((self.bytes_a, first), (self.bytes_b, second))):
+                    first[i] = second[i] = np.empty(0, np.int64)
+            a, b = Tokens(first), Tokens(second)
+        return a, b
+
+    @staticmethod
+    def _same(side: "Tokens", table: list[bytes], lengths: np.ndarray, data: list[bytes]) -> bool:
+        """Whether the tokens of each text have its bytes: all are equal end to end, and each as long."""
+        ends = np.r_[0, np.cumsum(lengths[side.flat])][np.cumsum(side.sizes)]
+        if ends.tolist() != np.cumsum([len(d) for d in data]).tolist():
+            return False
+        return b"".join(map(table.__getitem__, side.flat.tolist())) == b"".join(data)
 
     def cuts(self, a: "Tokens", b: "Tokens") -> tuple[np.ndarray, np.ndarray]:
         """Tokens of A and of B before each anchor.  Every text begins with a blank, so its end is one."""
@@ -110,7 +127,8 @@ class Pair:
         found = self.windows.get((a, b))
         if found is None:
             if len(a) == 1 or len(b) == 1:  # nothing inside can end together
-                found = f"{','.join(map(str, a))}|{','.join(map(str, b))}", (a[-1] << 32 | b[-1],)
+                names = self.names
+                found = f"{','.join([names[x] for x in a])}|{','.join([names[y] for y in b])}", (a[-1] << 32 | b[-1],)
             else:
                 found = self.window(a, b)
             self.windows[a, b] = found
@@ -119,19 +137,20 @@ class Pair:
     def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, tuple[int, ...]]:
         """The groups between shared ends, and the last tokens of each."""
         groups, links = [], []
-        i = j = begin_a = begin_b = 0
-        gap = 0  # bytes by which A is ahead
-        while i < len(a) or j < len(b):
-            if gap <= 0:
-                gap += len(self.bytes_a[a[i]])
-                i += 1
-            else:
-                gap -= len(self.bytes_b[b[j]])
+        of_a, of_b = [], []
+        end_a = end_b = j = 0
+        for x in a:
+            end_a += self.sizes_a[x]
+            of_a.append(self.names[x])
+            while end_b < end_a:
+                y = b[j]
+                end_b += self.sizes_b[y]
+                of_b.append(self.names[y])
                 j += 1
-            if gap == 0:
-                groups.append(f"{','.join(map(str, a[begin_a:i]))}|{','.join(map(str, b[begin_b:j]))}")
-                links.append(a[i - 1] << 32 | b[j - 1])
-                begin_a, begin_b = i, j
+            if end_a == end_b:
+                groups.append(f"{','.join(of_a)}|{','.join(of_b)}")
+                links.append(x << 32 | y)
+                of_a, of_b = [], []
         return ";".join(groups), tuple(links)
 
 
@@ -206,13 +225,21 @@ def aligned_blocks(docs: DataFrame, byte_path: str, piece_path: str, id_col: str
 
 
 def _block(tokenizers: Pair, held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+    gc.disable()  # it would walk the many small tuples again and again; none is part of a cycle
+    try:
+        return _block_row(tokenizers, held, number)
+    finally:
+        gc.enable()
+
+
+def _block_row(tokenizers: Pair, held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
     if len(tokenizers.windows) > REMEMBERED:
         tokenizers.windows.clear()
     ids, n_a, n_b, digests, sizes, every = [], [], [], [], [], []
     for batch in held:
         ids += batch.column("id").to_pylist()
-        # A slice of texts at a time, so that few token lists are held as objects.
-        for part in text_slices(batch, "text", 1 << 20):
+        # A slice of texts at a time, so that few ids are held as objects.
+        for part in text_slices(batch, "text", 4 << 20):
             a, b = tokenizers.ids(part.column("text").to_pylist())
             groups, links = tokenizers.aligned(a, b)
             n_a += a.sizes.tolist()
