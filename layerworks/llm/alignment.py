@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -60,6 +61,7 @@ class Pair:
             piece = self.pieces.id_to_piece(number)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(number) else piece.replace("▁", " ").encode())
         self.lengths = [np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b)]
+        self.all_bytes = [np.frombuffer(b"".join(table), np.uint8) for table in (self.bytes_a, self.bytes_b)]
         self.marked = [np.array([t[:1] == b" " for t in table]) for table in (self.bytes_a, self.bytes_b)]
         self.sizes_a, self.sizes_b = ([len(t) for t in table] for table in (self.bytes_a, self.bytes_b))
         self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
@@ -79,7 +81,7 @@ class Pair:
             first[i] = second[i] = np.empty(0, np.int64)
         data = [text.encode() if of else b"" for of, text in zip(texts, spaced)]
         a, b = Tokens(first), Tokens(second)
-        if not all(self._same(side, table, lengths, data) for side, table, lengths in zip((a, b), (self.bytes_a, self.bytes_b), self.lengths)):
+        if not all(self._same(side, table, lengths, data) for side, table, lengths in zip((a, b), self.all_bytes, self.lengths)):
             for i, whole in enumerate(data):
                 if any(b"".join(map(table.__getitem__, ids[i].tolist())) != whole for table, ids in ((self.bytes_a, first), (self.bytes_b, second))):
                     first[i] = second[i] = np.empty(0, np.int64)
@@ -87,12 +89,15 @@ class Pair:
         return a, b
 
     @staticmethod
-    def _same(side: "Tokens", table: list[bytes], lengths: np.ndarray, data: list[bytes]) -> bool:
+    def _same(side: "Tokens", table: np.ndarray, lengths: np.ndarray, data: list[bytes]) -> bool:
         """Whether the tokens of each text have its bytes: all are equal end to end, and each as long."""
-        ends = np.r_[0, np.cumsum(lengths[side.flat])][np.cumsum(side.sizes)]
-        if ends.tolist() != np.cumsum([len(d) for d in data]).tolist():
+        sizes = lengths[side.flat]
+        ends = np.cumsum(sizes)
+        if np.r_[0, ends][np.cumsum(side.sizes)].tolist() != np.cumsum([len(d) for d in data]).tolist():
             return False
-        return b"".join(map(table.__getitem__, side.flat.tolist())) == b"".join(data)
+        places = np.cumsum(lengths) - lengths
+        source = np.repeat(places[side.flat] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        return bool((table[source] == np.frombuffer(b"".join(data), np.uint8)).all())
 
     def cuts(self, a: "Tokens", b: "Tokens") -> tuple[np.ndarray, np.ndarray]:
         """Tokens of A and of B before each anchor.  Every text begins with a blank, so its end is one."""
@@ -190,7 +195,9 @@ def _different(a: Windows, b: Windows) -> tuple[np.ndarray, np.ndarray]:
     """One place of each different pair of windows, and for each window which of those it equals."""
     salt = 0
     while True:
-        _, first, kind = np.unique(mixed(a.hashes(salt)) + b.hashes(salt + 1), return_index=True, return_inverse=True)
+        kind, kinds = pd.factorize(mixed(a.hashes(salt)) + b.hashes(salt + 1))
+        first = np.empty(len(kinds), np.int64)
+        first[kind[::-1]] = np.arange(len(kind))[::-1]
         if a.same_as(first[kind]) and b.same_as(first[kind]):
             return first, kind
         salt += 2  # two windows had one hash
@@ -248,7 +255,7 @@ def _block_row(tokenizers: Pair, held: list[pa.RecordBatch], number: int) -> pa.
             digests += [hashlib.sha256(g.encode()).hexdigest() if n else "" for g, n in zip(groups, a.sizes)]
             every += links
     flat = np.concatenate(every)
-    links, place = np.unique(flat, return_inverse=True)
+    place, links = pd.factorize(flat)
     totals = np.bincount(place, minlength=len(links))
     owner = np.repeat(np.arange(len(sizes)), sizes)
     mixed, times = np.unique(owner * max(1, len(links)) + place, return_counts=True)
