@@ -20,6 +20,12 @@ CORRUPT_COLUMN = "_corrupt"
 DEFAULT_STRATEGY = {"strategy": "paragraph", "max_chars": 1000, "overlap": 100}
 
 
+# The ways to chunk, where a department comes from, and the ingest modes.
+STRATEGIES = ("paragraph", "markdown_header")
+DEPARTMENT_SCOPES = ("from_data",)
+INGEST_MODES = ("batch", "autoloader")
+
+
 class ConfigError(ValueError):
     """A configuration lacks a section, or holds a value of the wrong kind."""
 
@@ -39,13 +45,13 @@ def load_config(spark: SparkSession, path: str) -> dict[str, Any]:
 
 
 def load_client_config(spark: SparkSession, folder: str, client_id: str) -> dict[str, Any]:
-    """Configuration of one client, kept as ``<folder>/<client id>.yaml``."""
-    return load_config(spark, f"{folder.rstrip('/')}/{client_id}.yaml")
+    """Configuration of one client, kept as ``<folder>/<client id>.yaml`` and checked."""
+    return check_client_config(load_config(spark, f"{folder.rstrip('/')}/{client_id}.yaml"))
 
 
 def load_parsing_config(spark: SparkSession, folder: str) -> dict[str, Any]:
-    """Configuration of the document collection, kept as ``<folder>/parsing.yaml``."""
-    return load_config(spark, f"{folder.rstrip('/')}/parsing.yaml")
+    """Configuration of the document collection, kept as ``<folder>/parsing.yaml`` and checked."""
+    return check_parsing_config(load_config(spark, f"{folder.rstrip('/')}/parsing.yaml"))
 
 
 def section(config: Mapping[str, Any], name: str) -> Any:
@@ -64,16 +70,64 @@ def build_schema_from_yaml(config: Mapping[str, Any]) -> StructType:
     return StructType([*declared.fields, corrupt])
 
 
-def chunk_strategies(config: Mapping[str, Any]) -> dict[str, Any]:
-    """The configured strategies by document type, without the default."""
-    chunking = config.get("chunking") or {}
-    return {name: strategy for name, strategy in chunking.items() if name != "default"}
+def _checked_strategy(name: str, strategy: Any) -> dict[str, Any]:
+    """A strategy as configured, if it can be followed."""
+    if not isinstance(strategy, Mapping):
+        raise ConfigError(f"chunking of {name} must be a mapping, not {strategy!r}")
+    kind = strategy.get("strategy", DEFAULT_STRATEGY["strategy"])
+    if kind not in STRATEGIES:
+        raise ConfigError(f"chunking of {name}: unknown strategy {kind!r}; known: {', '.join(STRATEGIES)}")
+    for key, least in (("max_chars", 1), ("overlap", 0)):
+        size = strategy.get(key, DEFAULT_STRATEGY[key])
+        if isinstance(size, bool) or not isinstance(size, int) or size < least:
+            raise ConfigError(f"chunking of {name}: {key} must be a whole number from {least} on, not {size!r}")
+    if {"max_chars", "overlap"} <= strategy.keys() and strategy["overlap"] >= strategy["max_chars"]:
+        raise ConfigError(f"chunking of {name}: overlap must be below max_chars")
+    return dict(strategy)
+
+
+def strategy_table(config: Mapping[str, Any]) -> dict[str | None, dict[str, Any]]:
+    """The strategy of every configured type, all checked; ``None`` has that of all other types."""
+    given = config.get("chunking") or {}
+    table = {name: _checked_strategy(name, strategy) for name, strategy in given.items() if strategy not in (None, {})}
+    rest = table.pop("default", None)
+    return {**table, None: DEFAULT_STRATEGY if rest is None else rest}
 
 
 def chunk_strategy(source_type: str | None, config: Mapping[str, Any]) -> dict[str, Any]:
-    """Strategy of a document type; missing or null falls back to the default."""
-    chunking = config.get("chunking") or {}
-    return chunking.get(source_type) or chunking.get("default") or dict(DEFAULT_STRATEGY)
+    """Strategy of a document type."""
+    table = strategy_table(config)
+    return dict(table[source_type if source_type in table else None])
+
+
+def department_scope(permissions: Mapping[str, Any]) -> str:
+    """Where a row's department comes from."""
+    scope = permissions.get("department_scope", DEPARTMENT_SCOPES[0])
+    if scope not in DEPARTMENT_SCOPES:
+        raise ConfigError(f"unknown department_scope {scope!r}; known: {', '.join(DEPARTMENT_SCOPES)}")
+    return scope
+
+
+def check_client_config(config: Mapping[str, Any]) -> dict[str, Any]:
+    """A client's configuration, if a feed can follow it."""
+    for name in ("client_id", "source", "schema"):
+        section(config, name)
+    build_schema_from_yaml(config)
+    permissions = config.get("permission_metadata") or {}
+    role_names(permissions)
+    department_scope(permissions)
+    return dict(config)
+
+
+def check_parsing_config(config: Mapping[str, Any]) -> dict[str, Any]:
+    """A document collection's configuration, if its layers can follow it."""
+    source = section(config, "source")
+    mode = source.get("mode") or INGEST_MODES[0]
+    if mode not in INGEST_MODES:
+        raise ConfigError(f"unknown ingest mode {mode!r}; known: {', '.join(INGEST_MODES)}")
+    strategy_table(config)
+    role_names(config.get("permission_metadata") or {})
+    return dict(config)
 
 
 def role_names(permissions: Mapping[str, Any]) -> str:

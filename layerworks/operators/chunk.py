@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerworks.config import access_attributes, chunk_strategies, chunk_strategy
+from layerworks.config import access_attributes, strategy_table
 from layerworks.functions.columns import bind
 from layerworks.functions.ids import chunk_id
 from layerworks.functions.text import INLINE_SPACE, WHITESPACE, normalize_line_breaks, strip
@@ -188,14 +188,11 @@ def chunk_text(text: Column, source_type: Column, config: Mapping[str, Any]) ->
     Types with the same strategy share a branch; only the branch of a row's own
     type is evaluated for it.
     """
-    default = chunk_strategy(None, config)
+    table = strategy_table(config)
+    fallback = _strategy_key(None, table.pop(None))
     branches: dict[tuple, list[str]] = {}
-    for name in ["md", *chunk_strategies(config)]:
-        strategy = _strategy_key(name, chunk_strategy(name, config))
-        types = branches.setdefault(strategy, [])
-        if name not in types:
-            types.append(name)
-    fallback = _strategy_key(None, default)
+    for name, strategy in {"md": {}, **table}.items():
+        branches.setdefault(_strategy_key(name, strategy), []).append(name)
     chunks = None
     for strategy, types in branches.items():
         if strategy == fallback:

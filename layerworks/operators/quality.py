@@ -40,11 +40,12 @@ def expect_or_drop(name: str, predicate: str) -> Expectation:
 
 def not_null_expectations(schema: StructType) -> list[Expectation]:
     """Expectations for the columns declared not nullable, which file readers let pass."""
-    return [
-        expect_or_drop(f"valid_{field.name}", f"`{field.name}` IS NOT NULL")
-        for field in schema.fields
-        if not field.nullable
-    ]
+    return [required_column(field.name) for field in schema.fields if not field.nullable]
+
+
+def required_column(name: str) -> Expectation:
+    """Rows without a value of the column are dropped."""
+    return expect_or_drop(f"valid_{name}", f"`{name}` IS NOT NULL")
 
 
 def drop_failing(df: DataFrame, expectations: Iterable[Expectation]) -> DataFrame:
@@ -54,12 +55,13 @@ def drop_failing(df: DataFrame, expectations: Iterable[Expectation]) -> DataFram
 
 
 def apply_expectations(
-    df: DataFrame, expectations: Iterable[Expectation], observation: Observation | None = None
+    df: DataFrame, expectations: Iterable[Expectation], observation: Observation | str | None = None
 ) -> DataFrame:
     """Count failures of every expectation while the result is written, then drop.
 
     All predicates see the same rows, those before any is dropped.  The counts
-    cost no extra pass; ``observation.get`` has them once the write is done.
+    cost no extra pass; ``observation.get`` has them once the write is done.  A stream
+    takes a name instead, under which its progress has the counts of each micro-batch.
     """
     expectations = list(expectations)
     if observation is not None:

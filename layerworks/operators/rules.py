@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerworks.config import ConfigError, role_names, section
+from layerworks.config import ConfigError, department_scope, role_names, section
 from layerworks.functions.ids import lookup
 from layerworks.operators.dictionaries import replaced
 
@@ -127,9 +127,10 @@ def add_cdm_metadata(
 ) -> DataFrame:
     """Add roles, client and time, and keep the columns of the common model.
 
-    The department is that of the row (``department_scope: from_data``).
+    The department is that of the row, the only scope there is (``from_data``).
     """
     permissions = section(config, "permission_metadata")
+    department_scope(permissions)
     section(permissions, "allowed_roles")
     return df.withColumns(
         {

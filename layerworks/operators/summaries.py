@@ -64,3 +64,11 @@ def with_dimension(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     """Rows by keys, in key order."""
     return df.groupBy(*keys).count().orderBy(*keys)
+
+
+def first_by(df: DataFrame, columns: Sequence[str], order_by: Sequence[Column], count: int) -> DataFrame:
+    """A report of the first rows in an order, whose columns need not be shown.
+
+    Spark keeps ``count`` rows of each task, so only those meet in one.
+    """
+    return df.orderBy(*order_by).limit(count).select(*columns)

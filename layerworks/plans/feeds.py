@@ -7,16 +7,17 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerworks.config import section
+from layerworks.config import build_schema_from_yaml, section
 from layerworks.operators.quality import (
     Expectation,
     expect,
     expect_or_drop,
     ingest_metrics,
     malformed,
+    required_column,
     well_formed,
 )
-from layerworks.operators.rules import to_common_model, union_clients
+from layerworks.operators.rules import CDM_COLUMNS, to_common_model, union_clients
 from layerworks.plans.datasets import Dataset, materialized_view
 from layerworks.plans.tables import overwrite_table
 from layerworks.sources.records import read_bronze
@@ -46,9 +47,14 @@ def build_common_model(
 
 
 def feed_expectations(config: Mapping[str, Any]) -> list[Expectation]:
-    """Expectations for a client: a date that has to be parsed may be missing."""
+    """Expectations for a client: columns its schema declares not nullable have a value, under
+    their names in the common model; a date that has to be parsed may be missing."""
+    names = config.get("column_mapping") or {}
+    declared = [field.name for field in build_schema_from_yaml(config).fields if not field.nullable]
+    required = [names.get(name, name) for name in declared]
+    more = [required_column(name) for name in required if name in CDM_COLUMNS and name != "employee_id"]
     parsed = "join_date" in (config.get("transformations") or {})
-    return [VALID_ID, HAS_SALARY, *([HAS_JOIN_DATE] if parsed else [])]
+    return [VALID_ID, *more, HAS_SALARY, *([HAS_JOIN_DATE] if parsed else [])]
 
 
 def feed_datasets(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerworks.operators.access import attach_access, create_secure_view, visible_rows
 from layerworks.operators.newest import newest_per_key
+from layerworks.operators.policies import create_policy_view
 from layerworks.operators.upsert import upsert
 from layerworks.plans.buckets import BucketedTable
 from layerworks.queries.documents import CONFIG
@@ -43,6 +46,35 @@ def secure_view(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def _rights(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Members and policies made from the given tables: segments are roles, numbers are users."""
+    customer = table(spark, folder, "customer")
+    role = F.lower("c_mktsegment")
+    members = customer.select(F.concat(F.lit("user"), F.col("c_custkey") % 40).alias("user"), role.alias("role"))
+    roles = customer.select(role.alias("role")).distinct()
+    langs = table(spark, folder, "documents").select("lang").distinct()
+    size = F.length("role")
+    rows = roles.join(langs, (size + F.ascii("lang")) % 2 == 0)
+    masks = roles.select("role", F.lit("text").alias("column"), F.element_at(F.array(*map(F.lit, ("show", "hash", "hide"))), size % 3 + 1).alias("rule"), F.lit(None).cast("string").alias("value"))
+    lengths = roles.where(size > 8).select("role", F.lit("n_chars").alias("column"), F.lit("show").alias("rule"), F.lit(None).cast("string").alias("value"))
+    policies = rows.select("role", F.lit("lang").alias("column"), F.lit("rows").alias("rule"), F.col("lang").alias("value"))
+    return members, policies.unionByName(masks).unionByName(lengths)
+
+
+def policy_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as three users see them by roles, row rules and masks read from tables."""
+    names = {label: fresh_name(label) for label in ("documents", "members", "policies")}
+    members, policies = _rights(spark, folder)
+    for label, df in (("documents", table(spark, folder, "documents")), ("members", members), ("policies", policies)):
+        df.createOrReplaceTempView(names[label])
+    seen = []
+    for user in ("user3", "user5", "nobody"):
+        view = fresh_name("seen")
+        create_policy_view(spark, view, names["documents"], names["policies"], names["members"], user, temporary=True)
+        seen.append(spark.table(view).withColumn("reader", F.lit(user)))
+    return reduce(DataFrame.unionByName, seen)
+
+
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
     """The table before any change: customers without an order."""
     return table(spark, folder, "customer").select(
@@ -141,6 +173,7 @@ QUERIES = {
     "chunk_access": chunk_access,
     "access_filter": access_filter,
     "secure_view": secure_view,
+    "policy_view": policy_view,
     "newest_event": newest_event,
     "upsert_latest": upsert_latest,
     "upsert_streaming": upsert_streaming,
@@ -180,6 +213,22 @@ ORACLES = {
         SELECT doc_id, CASE WHEN department = 'en' THEN text END AS text, allowed_roles, department
         FROM guarded WHERE list_contains(string_split(allowed_roles, ','), 'manager')
     """,
+    "policy_view": """
+        WITH members AS (
+            SELECT DISTINCT 'user' || (c_custkey % 40) AS reader, lower(c_mktsegment) AS role FROM customer
+        ), readers AS (SELECT * FROM (VALUES ('user3'), ('user5'), ('nobody')) AS r(reader)),
+        held AS (SELECT reader, role FROM members JOIN readers USING (reader)),
+        rights AS (
+            SELECT reader, lang,
+                   bool_or((length(role) + ascii(lang)) % 2 = 0) AS sees,
+                   bool_or(length(role) % 3 = 0) AS shows, bool_or(length(role) % 3 = 1) AS hashes,
+                   bool_or(length(role) > 8) AS counts
+            FROM held CROSS JOIN (SELECT DISTINCT lang FROM documents) GROUP BY reader, lang
+        )
+        SELECT doc_id, CASE WHEN shows THEN text WHEN hashes THEN sha256(text) END AS text, lang, source,
+               CASE WHEN counts THEN n_chars END AS n_chars, reader
+        FROM documents JOIN rights USING (lang) WHERE sees
+    """,
     "newest_event": """
         SELECT user_id, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from layerworks.operators.summaries import (
     at_least,
     band,
+    first_by,
     in_thousands,
     summarize,
     summarize_sql,
@@ -90,7 +91,14 @@ def append_events(spark: SparkSession, folder: str) -> DataFrame:
     return detach(spark, name)
 
 
+def hidden_sort(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty richest customers, without their balance."""
+    richest = [F.desc("c_acctbal"), F.col("c_custkey")]
+    return first_by(table(spark, folder, "customer"), ["c_custkey", "c_name"], richest, 20)
+
+
 QUERIES = {
+    "hidden_sort": hidden_sort,
     "filter_project": filter_project,
     "derive_columns": derive_columns,
     "dept_summary": dept_summary,
@@ -109,6 +117,7 @@ _SUMMARY = """
 """
 
 ORACLES = {
+    "hidden_sort": "SELECT c_custkey, c_name FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20",
     "filter_project": """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice >= 200000
     """,

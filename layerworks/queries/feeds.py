@@ -7,22 +7,26 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerworks.config import build_schema_from_yaml, parse_yaml_config
+from layerworks.config import build_schema_from_yaml, load_client_config, parse_yaml_config
 from layerworks.operators import rules
 from layerworks.operators.quality import (
     apply_expectations,
+    expect,
     expectation_metrics,
     malformed,
+    not_null_expectations,
     well_formed,
 )
+from layerworks.operators.quality import expect_or_drop as expect_or_drop_rule
 from layerworks.operators.quality import ingest_metrics as count_records
 from layerworks.operators.rules import apply_rules, to_common_model, union_clients
 from layerworks.operators.summaries import count_by
-from layerworks.plans.datasets import publish_all
+from layerworks.plans.datasets import publish, publish_all, stream_counts, streaming_table
 from layerworks.plans.feeds import HAS_JOIN_DATE, HAS_SALARY, VALID_ID, feed_datasets
 from layerworks.plans.tables import overwrite_table
 from layerworks.queries.inputs import detach, fresh_name, table
 from layerworks.session import scratch_path
+from layerworks.sources.literals import literal_rows
 from layerworks.sources.records import add_ingest_metadata, read_bronze, read_source
 
 MODEL = ["employee_id", "base_salary", "department", "join_date", "allowed_roles", "source_client"]
@@ -306,7 +310,46 @@ def expect_or_drop(spark: SparkSession, folder: str) -> DataFrame:
     return apply_expectations(_model(spark, folder), EXPECTATIONS)
 
 
+def expect_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns a schema declares not nullable, checked on records as read."""
+    required = not_null_expectations(build_schema_from_yaml(parse_yaml_config(RECORDS_CONFIG)))
+    return expectation_metrics(_bronze_records(spark, folder), required)
+
+
+def config_location(spark: SparkSession, folder: str) -> DataFrame:
+    """Both clients by configurations kept as files, found by the client's id."""
+    place = scratch_path(spark, "configs")
+    for client, text in (("company_a", CLIENT_A), ("company_b", CLIENT_B)):
+        literal_rows(spark, [(text,)], ["value"]).write.text(f"{place}/{client}.yaml")
+    clients = [
+        to_common_model(rows(spark, folder), load_client_config(spark, place, client))
+        for client, rows in (("company_a", _client_a), ("company_b", _client_b))
+    ]
+    return union_clients(clients).select(MODEL)
+
+
+def expect_stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and failures of a streaming table that arrived in three micro-batches."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    source = scratch_path(spark, "events")
+    for number in range(3):
+        arriving = events.where(F.col("event_id") % 3 == number)
+        arriving.coalesce(1).write.mode("append").parquet(source)
+    stream = streaming_table(
+        fresh_name("counted_events"),
+        lambda s: s.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source),
+        scratch_path(spark, "checkpoint"),
+        expectations=[expect_or_drop_rule("no_error", "event_type <> 'error'"), expect("small", "value < 50")],
+    )
+    publish(spark, stream, scratch_path(spark, "counted"))
+    kept = detach(spark, stream.name).agg(F.lit("written").alias("name"), F.count("*").alias("count"))
+    return stream_counts(spark, stream).unionByName(kept)
+
+
 QUERIES = {
+    "expect_schema": expect_schema,
+    "config_location": config_location,
+    "expect_stream_metrics": expect_stream_metrics,
     "ingest_quarantine": ingest_quarantine,
     "ingest_clean": ingest_clean,
     "ingest_malformed": ingest_malformed,
@@ -366,6 +409,17 @@ _MODEL = f"""
 """
 
 ORACLES = {
+    "expect_schema": f"""{_RECORDS}
+        SELECT 'valid_number' AS expectation, 'drop' AS action, count(number) AS passed,
+               count(*) - count(number) AS failed FROM bronze
+    """,
+    "config_location": f"{_MODEL} SELECT * FROM model",
+    "expect_stream_metrics": """
+        SELECT 'rows' AS name, count(*) AS count FROM events
+        UNION ALL SELECT 'no_error', count(*) FILTER (event_type = 'error') FROM events
+        UNION ALL SELECT 'small', count(*) FILTER (NOT coalesce(value < 50, false)) FROM events
+        UNION ALL SELECT 'written', count(*) FILTER (event_type <> 'error') FROM events
+    """,
     "ingest_quarantine": f"{_RECORDS} SELECT * FROM bronze",
     "ingest_clean": f"{_RECORDS} SELECT number, name, balance, segment FROM bronze WHERE _corrupt IS NULL",
     "ingest_malformed": f"{_RECORDS} SELECT _corrupt FROM bronze WHERE _corrupt IS NOT NULL",

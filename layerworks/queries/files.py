@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from layerworks.operators.extract import add_extracted_text
 from layerworks.plans.arrivals import DocumentCollection
-from layerworks.plans.datasets import publish_all
+from layerworks.plans.datasets import Dataset, publish_all
 from layerworks.plans.documents import document_datasets
 from layerworks.plans.tables import append_stream, overwrite_table
 from layerworks.queries import sql
@@ -15,10 +15,14 @@ from layerworks.queries.documents import CONFIG
 from layerworks.queries.inputs import detach, fresh_name, table
 from layerworks.session import scratch_path
 from layerworks.sources.files import BATCH, INCREMENTAL, read_binary, to_bronze
+from layerworks.sources.literals import literal_rows
 
 # Documents per file: some, as a file each would leave a cluster with tiny files.
 PER_FILE = 128
 
+# Documents per file where some files are refused.
+PER_SMALL_FILE = 32
+
 # Added to the group of a file to name its copy.
 COPIES = 1_000_000_000
 
@@ -26,9 +30,9 @@ COPIES = 1_000_000_000
 TYPES = {".txt": "md"}
 
 
-def _write_files(documents: DataFrame, path: str) -> None:
+def _write_files(documents: DataFrame, path: str, per_file: int = PER_FILE) -> None:
     """One file per group of neighbouring ids, in a folder named after the group."""
-    grouped = documents.select((F.col("doc_id") / PER_FILE).cast("long").alias("part"), "doc_id", "text")
+    grouped = documents.select((F.col("doc_id") / per_file).cast("long").alias("part"), "doc_id", "text")
     (
         grouped.repartition("part")
         .sortWithinPartitions("part", "doc_id", "text")
@@ -100,19 +104,36 @@ def _refuse_some(content: bytes) -> str:
     return content.decode("utf-8")
 
 
-def published_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    """The files without a text, as published with the other layers."""
+def _refusing_datasets(spark: SparkSession, folder: str) -> list[Dataset]:
+    """The layers of smaller files, some of which cannot be read."""
     path = scratch_path(spark, "files")
-    _write_files(table(spark, folder, "documents"), path)
+    _write_files(table(spark, folder, "documents"), path, PER_SMALL_FILE)
     config = {**CONFIG, "source": {"path": path, "mode": BATCH, "path_glob_filter": "*.txt"}}
-    datasets = document_datasets(
+    return document_datasets(
         config, parsers={"page": _refuse_some}, types={".txt": "page"}, prefix=fresh_name("docs") + "_"
-    )[:3]
+    )
+
+
+def published_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The files without a text, as published with the other layers."""
+    datasets = _refusing_datasets(spark, folder)[:3]
     publish_all(spark, datasets, scratch_path(spark, "published_quarantine"))
     *_, quarantine = [detach(spark, dataset.name) for dataset in datasets]
     return quarantine.select(_part(F.col("file_path")).alias("part"), "source_type", "_corrupt")
 
 
+def published_document_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What publishing counts: rows before any is dropped, and those without a text."""
+    datasets = _refusing_datasets(spark, folder)[:4]
+    counts = publish_all(spark, datasets, scratch_path(spark, "published_document_counts"))
+    rows = []
+    for dataset, layer in zip(datasets, ("bronze", "extracted", "quarantined", "silver")):
+        found = counts[dataset.name]
+        rows.append((layer, found["rows"], found.get("has_extracted_text")))
+        detach(spark, dataset.name)
+    return literal_rows(spark, rows, ["layer", "n_rows", "n_without_text"])
+
+
 def _collection(spark: SparkSession, path: str) -> DocumentCollection:
     config = {**CONFIG, "source": {"path": path, "path_glob_filter": "*.txt"}}
     return DocumentCollection(scratch_path(spark, "collection"), config, types=TYPES)
@@ -170,19 +191,24 @@ QUERIES = {
     "silver_arrivals": silver_arrivals,
     "gold_follows_changes": gold_follows_changes,
     "published_quarantine": published_quarantine,
+    "published_document_counts": published_document_counts,
     "ingest_files_batch": ingest_files_batch,
     "ingest_files_stream": ingest_files_stream,
     "published_documents": published_documents,
 }
 
-_PARTS = f"""
+def _files_of(per_file: int) -> str:
+    return f"""
     WITH files AS (
-        SELECT doc_id // {PER_FILE} AS part,
+        SELECT doc_id // {per_file} AS part,
                string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS text
-        FROM documents GROUP BY doc_id // {PER_FILE}
+        FROM documents GROUP BY doc_id // {per_file}
     )
 """
 
+
+_PARTS, _SMALL_PARTS = _files_of(PER_FILE), _files_of(PER_SMALL_FILE)
+
 _FILES = f"""{_PARTS}
     SELECT part, strlen(text) AS n_bytes, 'md' AS source_type,
            {sql.redact(sql.clean("text"))} AS extracted_text, CAST(NULL AS VARCHAR) AS _corrupt
@@ -191,7 +217,15 @@ _FILES = f"""{_PARTS}
 
 ORACLES = {
     "ingest_files_batch": _FILES,
-    "published_quarantine": f"""{_PARTS}
+    "published_document_counts": f"""{_SMALL_PARTS}, counted AS (
+            SELECT count(*) AS n, count(*) FILTER (strlen(text) % 3 = 0) AS refused FROM files
+        )
+        SELECT 'bronze' AS layer, n AS n_rows, CAST(NULL AS BIGINT) AS n_without_text FROM counted
+        UNION ALL SELECT 'extracted', n, NULL FROM counted
+        UNION ALL SELECT 'quarantined', refused, NULL FROM counted
+        UNION ALL SELECT 'silver', n, refused FROM counted
+    """,
+    "published_quarantine": f"""{_SMALL_PARTS}
         SELECT part, 'page' AS source_type, 'parse_error:ValueError: refused' AS _corrupt
         FROM files WHERE strlen(text) % 3 = 0
     """,

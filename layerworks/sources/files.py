@@ -7,12 +7,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerworks.config import CORRUPT_COLUMN
+from layerworks.config import CORRUPT_COLUMN, INGEST_MODES
 
-# The ingest modes a configuration can name.
-BATCH = "batch"
-INCREMENTAL = "autoloader"
-INGEST_MODES = (BATCH, INCREMENTAL)
+BATCH, INCREMENTAL = INGEST_MODES
 
 # Columns of Spark's binary file source; a stream must be told them.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -73,7 +70,10 @@ def to_bronze(files: DataFrame) -> DataFrame:
 def list_files(
     spark: SparkSession, source_path: str, path_glob_filter: str | None = None
 ) -> DataFrame:
-    """Path, time of change and length of all files of a folder; no file is opened."""
+    """Path, time of change and length of all files of a folder; no file is opened.
+
+    As Spark's readers do, this passes over files without a byte.
+    """
     return read_binary_batch(spark, source_path, path_glob_filter).select(
         F.col("path").alias("file_path"), F.col("modificationTime").alias("modified"), "length"
     )

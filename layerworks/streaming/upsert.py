@@ -10,49 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from layerworks.operators.upsert import upsert
 from layerworks.plans.buckets import BucketedTable
-from layerworks.plans.tables import drop_table, overwrite_table
-
-
-class VersionedTable:
-    """A table kept as numbered versions behind a view of the current one.
-
-    A plain file table cannot be overwritten while it is read.  Each change writes
-    the next version and then points the view at it, so a reader sees one version
-    or the other.  ``write(rows, 0)`` starts the table.  With ``folder`` the files
-    of the versions are kept there, else in the warehouse.
-    """
-
-    def __init__(self, name: str, folder: str | None = None) -> None:
-        self.name = name
-        self.folder = folder
-
-    def version(self, number: int) -> str:
-        return f"{self.name}_v{number}"
-
-    def write(self, df: DataFrame, number: int) -> DataFrame:
-        """Write a version, replacing a half-written one, and make it current."""
-        table = self.version(number)
-        path = f"{self.folder}/{table}" if self.folder else None
-        overwrite_table(df, table, path=path)
-        df.sparkSession.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {table}")
-        return df.sparkSession.table(table)
-
-    def drop_version(self, spark: SparkSession, number: int) -> None:
-        """Drop a version if there is one; its files in ``folder`` are emptied first, as they outlive it."""
-        table = self.version(number)
-        if number < 0 or not spark.catalog.tableExists(table):
-            return
-        if self.folder:
-            none = spark.createDataFrame([], spark.table(table).schema)
-            overwrite_table(none, table, path=f"{self.folder}/{table}")
-        drop_table(spark, table)
-
-    def refresh(self, spark: SparkSession) -> None:
-        """Make a session forget what it remembers of files since replaced."""
-        schema, _, table = self.name.rpartition(".")
-        where = f"IN {schema} " if schema else ""
-        for row in spark.sql(f"SHOW TABLES {where}LIKE '{table}_v*'").collect():
-            spark.catalog.refreshTable(f"{schema}.{row.tableName}" if schema else row.tableName)
+from layerworks.plans.tables import VersionedTable
 
 
 def upsert_stream(
