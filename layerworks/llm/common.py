@@ -25,11 +25,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
+    kept._stored_at = path
     del df
     free_shuffles(spark)
     return kept
 
 
+def release(*steps: DataFrame) -> None:
+    """Empty the files of stored steps that nothing reads any more, also nothing planned."""
+    for step in steps:
+        none = step.sparkSession.createDataFrame([], step.schema)
+        none.write.mode("overwrite").parquet(step._stored_at)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner delete shuffle files that no DataFrame refers to any more."""
     gc.collect()

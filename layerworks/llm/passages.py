@@ -6,7 +6,7 @@
 2. Only windows with a shared anchor are hashed and counted: those of two documents are confirmed,
    with the smallest document that has them.  Runs of confirmed windows are cut out of that
    document as passages.
-3. Passages go to the documents that share a window with their document.  Each task compiles the
+3. Passages, cut to a bounded length, go to the documents that share a window with them.  Each task compiles the
    passages of its shard of documents into an automaton and streams the shard through it.  The
    patterns are every passage's consecutive blocks of seven words, so that any window of 13 words
    holds a whole block; a hit is widened word by word, and 13 equal words make an occurrence.
@@ -16,21 +16,26 @@ Hashes only choose what is compared; what is removed was equal word by word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from layerworks.llm.common import stored, text_slices
+from layerworks.llm.common import release, stored, text_slices
 from layerworks.llm.shingles import grams, hashed_words
 
 WINDOW = 13
 GRAM = 4
 BLOCK = (WINDOW + 1) // 2
 NO_ID = -(1 << 63)
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Windows that begin in a passage at most.
+CUT = 256
 
 
 def _anchors(words: np.ndarray) -> np.ndarray:
@@ -75,7 +80,9 @@ def _shared_anchors(base: DataFrame) -> DataFrame:
     own = stored(base.mapInArrow(found, "id long, anchors array<long>"), "passages-anchors")
     rows = own.select("id", F.explode("anchors").alias("anchor"))
     shared = rows.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor")
-    return stored(rows.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors")), "passages-shared")
+    found = stored(rows.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors")), "passages-shared")
+    release(own)
+    return found
 
 
 def _candidates(base: DataFrame, shared: DataFrame) -> DataFrame:
@@ -111,7 +118,9 @@ def _candidates(base: DataFrame, shared: DataFrame) -> DataFrame:
 
     schema = "id long, t long, starts array<int>, w array<long>, c array<int>, stretches array<struct<at: int, words: string>>"
     pairs = base.join(shared, "id").select("id", F.xxhash64("text").alias("t"), "text", "anchors")  # rows may repeat an id
-    return stored(pairs.mapInArrow(found, schema), "passages-candidates")
+    candidates = stored(pairs.mapInArrow(found, schema), "passages-candidates")
+    release(shared)
+    return candidates
 
 
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -130,28 +139,42 @@ def _stretches(text: str | None, starts: np.ndarray) -> list[dict]:
 
 
 def _routed_passages(candidates: DataFrame) -> DataFrame:
-    """(id, found): for each document the passages of smaller documents that share a window with it."""
+    """(id, found): for each document the passages of smaller documents that it shares a window with.
+
+    A passage is a run of confirmed windows of the smallest document that has them, cut so that
+    ``CUT`` windows at most begin in it; a document gets only those that hold one of its windows.
+    """
     rows = candidates.select("id", "t", F.explode(F.arrays_zip("starts", "w", "c")).alias("x")).select("id", "t", "x.starts", "x.w", "x.c")
-    confirmed = rows.groupBy("w", "c").agg(F.min("id").alias("source"), F.max("id").alias("last")).where("source < last").select("w", "c", "source")
-    hits = stored(rows.join(confirmed, ["w", "c"]).select("id", "t", "starts", "source"), "passages-hits")
-    sources = hits.where("id = source").groupBy("source", "t").agg(F.collect_set("starts").alias("own"))
+    first = F.min(F.struct("id", "t", "starts")).alias("first")
+    confirmed = rows.groupBy("w", "c").agg(first, F.max("id").alias("last")).where("first.id < last")
+    firsts = stored(confirmed.select("w", "c", F.col("first.id").alias("source"), F.col("first.t").alias("t"), F.col("first.starts").alias("starts")), "passages-windows")
+    # Windows of a document are in a run if none is missing between them.
+    in_order = Window.partitionBy("source", "t").orderBy("starts")
+    runs = firsts.withColumn("run", F.col("starts") - F.row_number().over(in_order))
+    begins = runs.withColumn("begin", F.min("starts").over(Window.partitionBy("source", "t", "run")))
+    placed = begins.select("w", "c", "source", "t", (F.col("starts") - (F.col("starts") - F.col("begin")) % CUT).alias("at"))
+    routes = rows.select("id", "w", "c").join(placed, ["w", "c"]).where("source < id").select("id", "source", "t", "at").distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            passages = []
-            for own, stretches in zip(batch.column("own").to_pylist(), batch.column("stretches").to_pylist()):
-                texts = []
+            out = []
+            for source, t, own, stretches in zip(*(batch.column(c).to_pylist() for c in ("source", "t", "own", "stretches"))):
                 ordered = [(s["at"], s["words"].split(" ")) for s in stretches]
+                firsts_of = [at for at, _ in ordered]
                 for a, b in _runs(np.unique(np.array(own))):
-                    at, words = max((s for s in ordered if s[0] <= a), key=lambda s: s[0])
-                    texts.append(" ".join(words[a - at : b - at]))
-                passages.append(texts)
-            yield pa.RecordBatch.from_arrays([batch.column("source"), pa.array(passages, pa.list_(pa.string()))], ["source", "passages"])
+                    at, words = ordered[bisect_right(firsts_of, a) - 1]
+                    out += [(source, t, p, " ".join(words[p - at : min(b, p + CUT + WINDOW - 1) - at])) for p in range(a, b - WINDOW + 1, CUT)]
+            columns = list(zip(*out)) or [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["source", "t", "at", "passage"])
 
+    sources = firsts.groupBy("source", "t").agg(F.collect_list("starts").alias("own"))
     texts = candidates.select(F.col("id").alias("source"), "t", "stretches").join(sources, ["source", "t"])
-    passages = texts.mapInArrow(cut, "source long, passages array<string>")
-    routes = hits.where("source < id").select("id", "source").distinct()
-    return routes.join(passages, "source").groupBy("id").agg(F.collect_list(F.struct("source", "passages")).alias("found"))
+    passages = texts.mapInArrow(cut, "source long, t long, at int, passage string")
+    found = routes.join(passages, ["source", "t", "at"]).groupBy("id").agg(F.collect_list(F.struct("source", "passage")).alias("found"))
+    routed = stored(found, "passages-routed")
+    release(candidates, firsts)
+    return routed
 
 
 class Shard:
@@ -205,20 +228,26 @@ class Shard:
         return out
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_words, n_removed, kept, removed): each document without the words of repeated windows.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), in_place: bool = False) -> DataFrame:
+    """(id, n_words, n_removed, kept, removed, ...): each document without the words of repeated windows.
 
     A word goes if it lies in a window of 13 words that also starts in a document with a smaller
     id; windows are judged on the input.  ``kept`` is the other words joined by one space,
     ``removed`` the runs of words that went, as (start, end).  Words are what ASCII white space
-    separates, unchanged.
+    separates, unchanged.  Columns named in ``carry`` come along; of others none is read.
+
+    With ``in_place`` the text itself is ``kept``, null if it is null, without the runs that went and
+    the white space after each: other lines and gaps stay as they are.
 
     A null or empty text has no words.  A null id counts as smaller than all others.  Rows that
-    repeat an id are the same document, which cannot repeat itself.  No rows give no rows.
+    repeat an id are the same document, which cannot repeat itself; each row keeps its own text and
+    columns.  No rows give no rows.
     """
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(id_col).cast("long").alias("own_id"), F.col(text_col).alias("text"))
+    own = [F.col(f"`{c}`").alias(f"_carried_{i}") for i, c in enumerate(carry)]
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(id_col).cast("long").alias("own_id"), F.col(text_col).alias("text"), *own)
     narrow = base.select("id", "text")
-    routed = stored(_routed_passages(_candidates(narrow, _shared_anchors(narrow))), "passages-routed")
+    routed = _routed_passages(_candidates(narrow, _shared_anchors(narrow)))
+    carried = [f"_carried_{i}" for i in range(len(carry))]
 
     def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,8 +255,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 passages: dict[str, int] = {}
                 found = part.column("found").to_pylist()
                 for item in (i for f in found if f for i in f):
-                    for text in item["passages"]:
-                        passages[text] = min(passages.get(text, item["source"]), item["source"])
+                    passages[item["passage"]] = min(passages.get(item["passage"], item["source"]), item["source"])
                 shard = Shard(passages)
                 rows = []
                 for doc_id, text, mine in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), found):
@@ -241,10 +269,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         joined = " ".join([w for w, o in zip(words, out.tolist()) if not o])
                         edges = np.flatnonzero(np.diff(np.r_[False, out, False]))
                         gone = [{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()]
+                    if in_place:
+                        joined = _without(text, gone)
                     rows.append((n, sum(g["end"] - g["start"] for g in gone), joined, gone))
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))))]
-                yield pa.RecordBatch.from_arrays([part.column("own_id"), *columns], ["id", "n_words", "n_removed", "kept", "removed"])
+                yield pa.RecordBatch.from_arrays([part.column("own_id"), *columns, *[part.column(c) for c in carried]], ["id", "n_words", "n_removed", "kept", "removed", *carried])
 
     schema = StructType.fromDDL("id long, n_words long, n_removed long, kept string, removed array<struct<start: int, end: int>>")
-    joined = base.join(routed, "id", "left").select("id", "own_id", "text", "found")
-    return joined.mapInArrow(located, schema).withColumnRenamed("id", id_col)
+    joined = base.join(routed, "id", "left").select("id", "own_id", "text", "found", *carried)
+    out = joined.mapInArrow(located, StructType([*schema.fields, *base.select(carried).schema.fields]))
+    return out.withColumnsRenamed({"id": id_col} | dict(zip(carried, carry)))
+
+
+def _without(text: str | None, gone: list[dict]) -> str | None:
+    """The text without runs of its words and the white space after each."""
+    if not gone:
+        return text
+    places = [m.start() for m in WORD.finditer(text)] + [len(text)]
+    kept, at = [], 0
+    for run in gone:
+        kept.append(text[at : places[run["start"]]])
+        at = places[run["end"]]
+    return "".join([*kept, text[at:]])

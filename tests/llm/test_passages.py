@@ -56,3 +56,22 @@ def test_equals_direct_comparison(spark, seed):
 
 def test_no_rows(spark):
     assert passages.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_passages_longer_than_a_cut_and_long_sources(spark, monkeypatch):
+    rng = random.Random(6)
+    long = " ".join(f"w{rng.randrange(500)}" for _ in range(1500))
+    words = long.split(" ")
+    rows = [(1, long), (2, " ".join(words[100:900])), (3, " ".join(words[254:280])), (4, "x y z " + " ".join(words[1300:])), (5, long + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = passages.remove_repeats(docs).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == model(rows)
+
+
+def test_texts_keep_their_lines_and_rows_their_columns(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(1, passage, "first"), (7, f"above\n\n  {passage}\nbelow\t x", "a"), (7, "quite another\ntext", "b"), (None, None, "c"), (8, passage, "d"), (9, f"{passage}\n", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found string")
+    out = passages.remove_repeats(docs, carry=["found"], in_place=True).collect()
+    assert {r.found: r.kept for r in out} == {"first": passage, "a": "above\n\n  below\t x", "b": "quite another\ntext", "c": None, "d": "", "e": ""}
+    assert {r.found: r.doc_id for r in out}["b"] == 7
