@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerworks.llm.common import stored
+from layerworks.llm.common import release, stored
 
 EXACT_CHARS = 48
 #: Shortest lines that are matched nearly.
@@ -132,9 +132,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Texts of the lines that share a half; one row per role of a line.
     hashed = texts.withColumn("t", F.xxhash64("text"))
     same = hashed["id"].eqNullSafe(wanted["id"]) & (hashed["t"] == wanted["t"])
-    found = hashed.join(wanted, same).select(hashed["id"], hashed["t"], F.split("text", "\n").alias("all"), F.explode("wanted").alias("w"))
+    # Most lists are too many to be sent to every task; the plan is the same at every size.
+    found = hashed.join(wanted.hint("merge"), same).select(hashed["id"], hashed["t"], F.split("text", "\n").alias("all"), F.explode("wanted").alias("w"))
     found = found.select(F.struct("id", "w.pos", "t").alias("first"), "w.role", F.get("all", F.col("w.pos")).alias("line")).dropDuplicates(["first", "role"])
     lines = stored(found.withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64("line", F.lit(1))), "lines-near")
+    release(wanted)
     variants = stored(_with_variant_keys(lines), "lines-variants")
     left, right = variants.alias("a"), variants.alias("b")
     pairs = left.join(right, "key").where("struct(a.k1, a.k2) < struct(b.k1, b.k2)")
@@ -146,18 +148,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs.join(one, ["a1", "a2"]).join(two, ["b1", "b2"]).where(within_one_edit(F.col("al"), F.col("bl"))).select("a1", "a2", "af", "b1", "b2", "bf"),
         "lines-pairs",
     )
+    release(lines, variants)
     # The earliest place of a line or of one near it.
     links = near.select(F.col("a1").alias("k1"), F.col("a2").alias("k2"), F.col("bf").alias("first")).unionByName(
         near.select(F.col("b1").alias("k1"), F.col("b2").alias("k2"), F.col("af").alias("first"))
     )
     repeated = distinct.where("n > 1").select("k1", "k2", "first")
-    earliest = links.unionByName(repeated).groupBy("k1", "k2").agg(F.min("first").alias("first"))
+    earliest = stored(links.unionByName(repeated).groupBy("k1", "k2").agg(F.min("first").alias("first")), "lines-earliest")
+    release(distinct, near)
     places = keyed.select("id", "pos", "t", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
     later = places.join(earliest, ["k1", "k2"]).where("struct(first.id, first.pos) < struct(id, pos)")
     removed = later.groupBy(F.col("id").alias(f"{spare}id"), F.col("t").alias(f"{spare}t")).agg(F.collect_set("pos").alias(f"{spare}gone"))
     base = docs.drop("n_lines", "n_removed").withColumn(f"{spare}hash", F.xxhash64(text_col))
     out = base.join(
-        removed, base[id_col].eqNullSafe(F.col(f"{spare}id")) & (F.col(f"{spare}hash") == F.col(f"{spare}t")), "left"
+        removed.hint("merge"), base[id_col].eqNullSafe(F.col(f"{spare}id")) & (F.col(f"{spare}hash") == F.col(f"{spare}t")), "left"
     ).withColumn(f"{spare}lines", F.split(F.col(text_col), "\n"))
     every = F.col(f"{spare}lines")
     stay = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(f"{spare}gone"))
