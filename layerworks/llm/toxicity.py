@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerworks.llm.common import text_slices
+from layerworks.llm.common import stored, text_slices
 
 TOKEN = re.compile(r"\S+")
 EDGE = re.compile(r"^\W+|\W+$")
@@ -268,8 +268,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = {r["_label"]: r["n"] for r in marks.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     place = F.pmod(F.xxhash64("_doc"), F.lit(1 << 20)) / (1 << 20)
     limit = F.when(F.col("_label") == 1, min(1.0, sample / max(1, rows.get(1, 0)))).otherwise(min(1.0, sample / max(1, rows.get(0, 0))))
-    chosen = marks.where(place < limit)
-    both = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull()).join(chosen, "_doc")
+    chosen = stored(marks.where(place < limit), "toxicity-sample")
+    # The ids of the sample are few by its bound, which is checked: then the texts need not move.
+    few = chosen.count() <= 4 * sample
+    both = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull()).join(F.broadcast(chosen) if few else chosen, "_doc")
 
     def fitted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         whole = pd.concat([f for f in frames] or [pd.DataFrame({"_doc": [], "_text": [], "_label": []})]).sort_values(["_doc", "_text"])
