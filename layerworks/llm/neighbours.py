@@ -26,7 +26,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerworks.llm.common import stored
+from layerworks.llm.common import release, stored
 
 #: Neighbours a node keeps, and about how many of those that name it are in one neighbourhood.
 KEPT, NAMED = 50, 100
@@ -114,7 +114,8 @@ def build(rows: DataFrame, copies: int = 21, tables: int = 4, seed: int = 1) ->
     number, changed = 0, total * KEPT
     while changed > OPEN * KEPT * total:  # lists only get better, so this ends
         number += 1
-        graph = stored(_round(graph, nodes, number), f"ann-graph{number}")
+        before, graph = graph, stored(_round(graph, nodes, number), f"ann-graph{number}")
+        release(before)
         changed = graph.select(F.sum(F.size(F.filter("fresh", lambda f: f))).alias("n")).first()["n"] or 0
     return Index(classes, nodes, graph, step, longest)
 
@@ -283,12 +284,14 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 96, width:
     state = stored(_looked(fresh, fresh.select("query", F.explode("next").alias("other")), index, k, beam, width, schema, index.longest), "ann-search")
     done = []
     while True:
-        done.append(state.where(F.size("next") == 0).select("query", "vec", F.col("pool.id").alias("found")))
-        state = state.where(F.size("next") > 0)
+        done.append(stored(state.where(F.size("next") == 0).select("query", "vec", F.col("pool.id").alias("found")), "ann-found"))
+        before, state = state, state.where(F.size("next") > 0)
         if state.isEmpty():
+            release(before)
             return reduce(DataFrame.unionByName, done)
         frontier = state.select("query", F.explode("next").alias("node")).join(links, "node").select("query", F.explode("ids").alias("other")).distinct()
         state = stored(_looked(state, frontier, index, k, beam, width, schema), f"ann-search{len(done)}")
+        release(before)
 
 
 def _looked(
