@@ -24,7 +24,10 @@ from layerworks.llm.common import stored, text_slices
 
 WORD = re.compile(r"[^\W\d_]+")
 WORD_START = "▁"
-LONG = 48  # characters above which a word is scored by itself, with rescaling
+LONG = 48  # characters above which a word is scored by itself, with another scale
+#: Factor per character that keeps sums inside the range of doubles: no piece is likelier than one, so
+#: 49 characters stay below 1e294, and pieces of a chance of 1e-12 or more per character above it.
+SCALE = 1e6
 #: Characters of the vocabulary's longest piece at most.
 LONGEST = 64
 CACHE_WORDS = 400_000
@@ -86,9 +89,9 @@ def forward(words: list[str], table: np.ndarray, known: dict[str, int], count: i
     if short:
         chosen = [words[i] for i in short]
         word, start, end, piece = lattice(chosen, known, count)
-        sums = _sums(len(chosen), max(map(len, chosen)) + 1, word, start, end, table[piece])
+        sums = _sums(len(chosen), max(map(len, chosen)) + 1, word, start, end, table[piece] * (SCALE ** (end - start))[:, None])
         sizes = np.array([len(w) + 1 for w in chosen])
-        out[short] = np.log(sums[np.arange(len(chosen)), sizes])
+        out[short] = np.log(sums[np.arange(len(chosen)), sizes]) - sizes[:, None] * np.log(SCALE)
     for i in set(range(len(words))).difference(short):
         out[i] = _long_word(words[i], table, known, count)
     return out
@@ -108,29 +111,25 @@ def _sums(count: int, last: int, word: np.ndarray, start: np.ndarray, end: np.nd
 
 
 def _long_word(word: str, table: np.ndarray, known: dict[str, int], count: int) -> np.ndarray:
-    """The same sums for one word of any length; the last few are kept, scaled to one."""
+    """The same sums for one word of any length, as logarithms; the last few are kept."""
     text = WORD_START + word
-    recent = [np.ones(table.shape[1])]
-    scale = np.zeros(table.shape[1])
+    recent = [np.zeros(table.shape[1])]
     for end in range(1, len(text) + 1):
-        total = np.zeros(table.shape[1])
+        ways = []
         for back in range(1, min(LONGEST, end) + 1):
             piece = known.get(text[end - back : end], -1)
             if piece < 0 and back == 1:
                 piece = count
             if piece >= 0:
-                total += recent[-back] * table[piece]
-        recent = [*recent[-(LONGEST - 1) :], total]
-        if end % 8 == 0:
-            scale += np.log(total)
-            recent = [r / total for r in recent]
-    return scale + np.log(recent[-1])
+                ways.append(recent[-back] + np.log(table[piece]))
+        recent = [*recent[-(LONGEST - 1) :], np.logaddexp.reduce(ways, axis=0)]
+    return recent[-1]
 
 
 def expected_counts(words: list[str], times: np.ndarray, weights: np.ndarray, known: dict[str, int], count: int) -> np.ndarray:
     """Expected number of each piece in the words under one language's probabilities."""
     word, start, end, piece = lattice(words, known, count)
-    weight = weights[piece]
+    weight = weights[piece] * SCALE ** (end - start)  # the factors cancel in the shares
     last = max(map(len, words)) + 1
     ahead = _sums(len(words), last, word, start, end, weight[:, None])[:, :, 0]
     sizes = np.array([len(w) + 1 for w in words])
@@ -163,6 +162,7 @@ def train(
     """Learn from labelled rows; rows without a language or text teach nothing.
 
     The sample is bounded: about ``sample_per_language`` documents each, chosen by a hash of the id.
+    Its words of more than ``LONG`` letters teach nothing.
     What reaches the driver is a number per piece and language.  Without labelled rows the model
     has no language and calls every text undetermined.
     """

@@ -70,3 +70,26 @@ def test_odd_texts(spark):
     empty = langid.train(docs.limit(0), PATH)
     assert {r.lang_pred for r in langid.identify(docs, empty).collect()} == {"und"}
     assert langid.identify(docs.limit(0), model).collect() == []
+
+
+@pytest.mark.parametrize("letter", ["ж", "ᚠ", "a", "é", "日"])
+def test_long_runs_stay_inside_the_range_of_doubles(letter):
+    known, count = langid.pieces(PATH)
+    table = np.full((count + 1, 3), 1e-12)
+    table[:, 1] = 1 / (count + 1)
+    table[known.get("a", 0)] = 0.9
+    words = [letter * size for size in range(40, 61)]
+    got = langid.forward(words, table, known, count)
+    assert np.isfinite(got).all()
+    for row, word in zip(got, words):
+        assert np.allclose(row, langid._long_word(word, table, known, count))
+    counts = langid.expected_counts(words[:9], np.ones(9), table[:, 0], known, count)
+    assert np.isfinite(counts).all() and counts.sum() > 0
+
+
+def test_texts_with_runs_of_an_unknown_script(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs, PATH)
+    odd = [(n, f"the cat and the dog were in the house {letter * n}") for letter in ("ᚠ", "ж") for n in (30, 46, 47, 48, 49, 60, 200)]
+    rows = langid.identify(spark.createDataFrame(odd, "doc_id long, text string").coalesce(1), model).collect()
+    assert all(0 <= r.score <= 1 for r in rows)
