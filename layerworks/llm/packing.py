@@ -242,23 +242,31 @@ _STATE = "block long, island int, lengths array<long>, people array<array<int>>"
 def _blocks(items: DataFrame, size: int) -> DataFrame:
     """Rows of bounded size: ``size`` pieces each, in the order of a partition."""
 
-    def dealt(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = {"doc_ids": "doc_id", "pieces": "piece", "starts": "start", "lengths": "length", "crcs": "ids_crc32"}
+
+    # In Arrow, as a column of frames with one missing id would be no whole numbers any more.
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number, rest = TaskContext.get().partitionId() << 32, None
-        for frame in frames:
-            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            while len(rest) >= size:
-                yield _row(number, rest.iloc[:size])
-                rest, number = rest.iloc[size:], number + 1
-        if rest is not None and len(rest):
-            yield _row(number, rest)
+        number, held, count = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count >= size:
+                whole, at = pa.Table.from_batches(held), 0
+                while count - at >= size:
+                    yield _row(number, whole.slice(at, size))
+                    at, number = at + size, number + 1
+                held, count = whole.slice(at).to_batches(), count - at
+        if count:
+            yield _row(number, pa.Table.from_batches(held))
 
-    def _row(number: int, part: pd.DataFrame) -> pd.DataFrame:
-        columns = {"doc_ids": "doc_id", "pieces": "piece", "starts": "start", "lengths": "length", "crcs": "ids_crc32"}
-        return pd.DataFrame({"block": [number]} | {to: [part[c].to_numpy(dtype=object if c == "doc_id" else None)] for to, c in columns.items()})
+    def _row(number: int, part: pa.Table) -> pa.RecordBatch:
+        ends = pa.array([0, part.num_rows], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.concat_arrays(part.column(c).chunks)) for c in names.values()]
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists], ["block", *names])
 
-    return items.mapInPandas(dealt, _BLOCK)
+    return items.mapInArrow(dealt, _BLOCK)
 
 
 def _packed(items: DataFrame, capacity: int, block: int, islands: int, rounds: int, label: str) -> DataFrame:
@@ -310,15 +318,15 @@ def pack(items: DataFrame, capacity: int = 4096, block: int = 4096, islands: int
     full = checked.where(F.col("length") == capacity).select(*names)
     first = stored(_packed(checked.where(F.col("length") < capacity).select(*names), capacity, block, islands, rounds, "pack"), "pack-first")
     tight = first.where(F.col("fill") >= loose * capacity)
-    again = _packed(first.where(F.col("fill") < loose * capacity).select(*names).coalesce(_few(first, block)), capacity, block, islands, rounds, "pack-loose")
+    again = _packed(first.where(F.col("fill") < loose * capacity).select(*names).coalesce(_few(first, block, loose * capacity)), capacity, block, islands, rounds, "pack-loose")
     return _placed(tight, 0).unionByName(_placed(again, 1)).unionByName(
         full.select(*names, (F.monotonically_increasing_id() * 4 + 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     )
 
 
-def _few(first: DataFrame, block: int) -> int:
+def _few(first: DataFrame, block: int, limit: float) -> int:
     """Partitions for the loose pieces, so that their blocks are full."""
-    return max(1, min(first.rdd.getNumPartitions(), first.where(F.col("fill") < 4000).count() // (4 * block)))
+    return max(1, min(first.rdd.getNumPartitions(), first.where(F.col("fill") < limit).count() // (4 * block)))
 
 
 def _placed(bins: DataFrame, kind: int) -> DataFrame:

@@ -67,3 +67,11 @@ def test_generations_improve_a_hard_block():
     assert (people[0] == again[0]).all()
     assert packing._fitness(sizes, people[0], 1000) > packing._fitness(sizes, start, 1000)
     assert np.bincount(people[0], weights=sizes).max() <= 1000
+
+
+def test_large_ids_beside_missing_ones(spark):
+    ids = [1152921504606846977, None, 2**62 + 1, -(2**62) - 1, None]
+    items = spark.createDataFrame([(i, 0, 0, 40, n) for n, i in enumerate(ids)], packing.ITEM)
+    rows = packing.pack(items, capacity=100).collect()
+    assert {r.ids_crc32: r.doc_id for r in rows} == dict(enumerate(ids))
+    assert check(rows, 100) == 3
