@@ -53,10 +53,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of an earlier document; a document of such passages only goes."""
-    found = passages.remove_repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("_id"), "kept")
-    rows = docs.join(found, docs["doc_id"].eqNullSafe(F.col("_id")), "left").where(F.col("kept").isNull() | (F.col("kept") != ""))
-    return _measured(rows.withColumn("text", F.coalesce("kept", "text")))
+    """Texts without passages of an earlier document, their other lines as they are; a document of
+    such passages only goes.  Rows that repeat an id, or have none, each keep their own text."""
+    rows = passages.remove_repeats(docs.select(*COLUMNS), carry=["lang", "source", "n_chars"], in_place=True)
+    kept = rows.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
+    return kept.withColumn("text", F.col("kept")).withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
