@@ -109,6 +109,36 @@ QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_bpe_round_trip, op3_la
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES: dict[str, str] = {
+    "op1_warc_captures": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest
+            FROM pages
+        ), judged AS (SELECT *, strlen(payload) >= 1000 AND page_id <> largest AS revisits FROM payloads)
+        SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+               CASE WHEN revisits THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN revisits THEN largest END AS refers_to
+        FROM judged
+    """,
+    "op5_repeated_passages": r"""
+        WITH split AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda word: word <> '') AS words
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, place, array_to_string(words[place : place + 12], ' ') AS text
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM split WHERE len(words) >= 13)
+        ), firsts AS (SELECT text, min(doc_id) AS first FROM windows GROUP BY text),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(place, place + 13)) AS place
+            FROM windows JOIN firsts USING (text) WHERE first < doc_id
+        ), each_word AS (
+            SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split WHERE len(words) > 0
+        ), left_over AS (
+            SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.place) FILTER (g.place IS NULL) AS kept, count(g.place) AS n_removed
+            FROM each_word AS e LEFT JOIN gone AS g ON e.doc_id = g.doc_id AND e.place = g.place GROUP BY e.doc_id
+        )
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM split LEFT JOIN left_over USING (doc_id)
+    """,
     "op11_hard_negatives": """
         WITH whole AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
