@@ -2,6 +2,8 @@
 
 from layerworks.config import (
     build_schema_from_yaml,
+    check_client_config,
+    check_parsing_config,
     chunk_strategy,
     load_client_config,
     load_config,
@@ -36,17 +38,35 @@ from layerworks.operators.rules import (
     to_common_model,
     union_clients,
 )
+from layerworks.operators.policies import create_policy_view
 from layerworks.operators.upsert import upsert
+from layerworks.plans.arrivals import DocumentCollection
+from layerworks.plans.buckets import BucketedTable
 from layerworks.plans.datasets import (
     Dataset,
     materialized_view,
     publish,
     publish_all,
+    stream_counts,
     streaming_table,
 )
 from layerworks.plans.documents import document_datasets, ingest_documents, silver_documents
 from layerworks.plans.feeds import build_common_model, feed_datasets, ingest_to_bronze
-from layerworks.plans.tables import append_stream, append_table, drop_table, overwrite_table
-from layerworks.sources.files import read_binary, read_binary_batch, read_binary_stream, to_bronze
+from layerworks.plans.tables import (
+    VersionedTable,
+    append_stream,
+    append_table,
+    drop_table,
+    overwrite_table,
+    publish_table,
+)
+from layerworks.sources.files import (
+    compare_listings,
+    list_files,
+    read_binary,
+    read_binary_batch,
+    read_binary_stream,
+    to_bronze,
+)
 from layerworks.sources.records import add_ingest_metadata, read_source
-from layerworks.streaming.upsert import VersionedTable, upsert_stream
+from layerworks.streaming.upsert import upsert_buckets, upsert_stream

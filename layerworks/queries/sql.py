@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from layerworks.functions.text import INLINE_SPACE, LINE_BREAKS, WHITESPACE
+# As Python's text methods have them, not as the Column expressions spell them out.
+_BLANKS = [chr(c) for c in range(0x10000) if chr(c).isspace()]
+WHITESPACE = "".join(_BLANKS)
+LINE_BREAKS = "".join(c for c in _BLANKS if len(f"a{c}b".splitlines()) == 2)
+INLINE_SPACE = "".join(c for c in _BLANKS if c not in LINE_BREAKS)
 
 _WORD = r"\p{L}\p{N}_"
 _LINE_END = f"\r\n|[{LINE_BREAKS}]"

@@ -38,3 +38,20 @@ def test_documents_job(spark, tmp_path, capsys):
     assert spark.table("jobs_test.bronze_docs").count() == 3
     assert spark.table("jobs_test.gold_chunks").count() == 5
     spark.sql("DROP SCHEMA jobs_test CASCADE")
+
+
+def test_documents_job_follows_a_folder(spark, tmp_path, capsys):
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    (docs / "guide.md").write_text(fixtures.ENGINEERING_GUIDE)
+    (docs / "deck.pdf").write_bytes(b"%PDF")
+    (tmp_path / "parsing.yaml").write_text(fixtures.PARSING.format(path=docs, mode="batch"))
+    layers = str(tmp_path / "layers")
+    run_documents.follow(spark, str(tmp_path), layers)
+    shown = capsys.readouterr().out
+    assert "files {'added': 2, 'changed': 0, 'removed': 0}" in shown and "no_parser:pdf" in shown
+    (docs / "deck.pdf").unlink()
+    (docs / "policy.md").write_text(fixtures.SALES_POLICY)
+    run_documents.follow(spark, str(tmp_path), layers)
+    shown = capsys.readouterr().out
+    assert "files {'added': 1, 'changed': 0, 'removed': 1}" in shown and "no_parser" not in shown
