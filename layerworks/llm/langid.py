@@ -30,7 +30,7 @@ LONG = 48  # characters above which a word is scored by itself, with another sca
 SCALE = 1e6
 #: Characters of the vocabulary's longest piece at most.
 LONGEST = 64
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 UNKNOWN = "und"
 
 
@@ -272,7 +272,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", to: tuple[st
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            for part in text_slices(batch, text_col):
+            # Words are held as objects, many times the size of their text.
+            for part in text_slices(batch, text_col, 1 << 20):
                 names, scores = scorer.predict(part.column(text_col).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*part.schema.names, *to]
