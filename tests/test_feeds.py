@@ -17,7 +17,7 @@ from layerworks.operators.quality import ingest_metrics, split_quarantine
 from layerworks.operators.summaries import count_by
 from layerworks.plans.datasets import publish_all
 from layerworks.plans.feeds import build_common_model, feed_datasets, ingest_to_bronze
-from layerworks.plans.tables import overwrite_table
+from layerworks.plans.tables import drop_table, overwrite_table
 from layerworks.queries.feeds import CLIENT_A, CLIENT_B
 from layerworks.sources.records import read_bronze, read_source
 
@@ -67,7 +67,7 @@ def test_layers_as_declared_datasets(spark, configs, table_names):
     for config in configs:
         for layer in ("bronze", "quarantine", "silver"):
             # The datasets choose these names themselves.
-            spark.sql(f"DROP TABLE IF EXISTS {layer}_{config['client_id']}")
+            drop_table(spark, f"{layer}_{config['client_id']}")
     metrics = publish_all(spark, feed_datasets(configs, target))
     assert as_model(spark.table(target)) == fixtures.COMMON_MODEL
     assert metrics["silver_company_a"] == {"rows": 5, "valid_employee_id": 0, "has_base_salary": 0}
@@ -80,7 +80,7 @@ def test_layers_as_declared_datasets(spark, configs, table_names):
     assert ("Comment", "Company A raw records") in [(r.col_name, r.data_type) for r in described]
     for config in configs:
         for layer in ("bronze", "quarantine", "silver"):
-            spark.sql(f"DROP TABLE {layer}_{config['client_id']}")
+            drop_table(spark, f"{layer}_{config['client_id']}")
 
 
 def test_malformed_rows_are_kept_with_their_line(spark, configs, tmp_path, table_names):
