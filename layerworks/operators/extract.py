@@ -6,10 +6,10 @@ parser for their file format; a caller plugs in ``{type: function(bytes) -> str}
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from importlib import import_module
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,11 @@ Parser = Callable[[bytes], str]
 # The type whose files are text already.
 TEXT_TYPE = "md"
 
+# Characters of text that a parser slot holds before it gives them back, and one text more.
+PART_CHARS = 1 << 20
+
+_PARSED = pa.struct([("text", pa.string()), ("error", pa.string())])
+
 
 def join_parts(parts: Sequence[str | None], keep_empty: bool = False) -> str:
     """Text of pages or slides, parted by blank lines.
@@ -50,10 +55,20 @@ def _parsed(parsers: Mapping[str, Parser], content: Column, kind: Column) -> Col
         except Exception as error:  # noqa: BLE001 - any failure quarantines the document
             return None, f"{type(error).__name__}: {error}"
 
-    @F.pandas_udf("text string, error string")
-    def parse(contents: pd.Series, kinds: pd.Series) -> pd.DataFrame:
-        results = [parse_one(data, name) for data, name in zip(contents, kinds, strict=True)]
-        return pd.DataFrame(results, columns=["text", "error"])
+    # Texts go back in small parts: of a batch of files only the contents are held whole.
+    @F.arrow_udf("text string, error string")
+    def parse(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for contents, kinds in batches:
+            found, held = [], 0
+            for data, name in zip(contents, kinds, strict=True):
+                text, error = parse_one(data.as_py(), name.as_py())
+                found.append({"text": text, "error": error})
+                held += len(text or "")
+                if held >= PART_CHARS:
+                    yield pa.array(found, _PARSED)
+                    found, held = [], 0
+            if found:
+                yield pa.array(found, _PARSED)
 
     return parse(content, kind)
 

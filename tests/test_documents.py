@@ -155,6 +155,21 @@ def test_parser_results_are_made_safe(spark):
     assert [tuple(row) for row in got] == [("", None), ("x?", None), (None, "null_content")]
 
 
+def test_a_parser_slot_holds_few_texts(spark):
+    """Of a batch of files, the texts found so far do not pile up in Python."""
+    rows = [(f"{i}.pdf", b"x") for i in range(40)]
+    bronze = spark.createDataFrame(rows, "file_path string, binary_content binary").coalesce(1)
+
+    def grown(data):
+        with open("/proc/self/statm") as file:
+            pages = file.read().split()[1]
+        return f"{pages} {'x' * (4 << 20)}"
+
+    texts = add_extracted_text(bronze, {"pdf": grown}).select("extracted_text").collect()
+    pages = [int(row.extracted_text.split(" ", 1)[0]) for row in texts]
+    assert len(pages) == 40 and (max(pages) - min(pages)) * 4096 < 100 << 20
+
+
 def test_join_parts():
     assert join_parts(["a", "", None, "b"]) == "a\n\nb"
     assert join_parts(["a", None, "b"], keep_empty=True) == "a\n\n\n\nb"
