@@ -33,8 +33,10 @@ from layerworks.llm.shingles import GOLDEN, mixed
 
 #: Bytes of text in a block, about; one text at least.
 BLOCK_BYTES = 8 << 20
-#: Windows that are remembered from one block to the next.
-REMEMBERED = 300_000
+#: Bytes of text that are encoded and aligned at once, about.
+SLICE_BYTES = 1 << 20
+#: Windows that are remembered from one slice of texts to the next.
+REMEMBERED = 60_000
 #: Texts of characters below this are encoded through the vocabulary's ranks, others by the library.
 PLAIN = "ɐ"
 
@@ -240,13 +242,13 @@ def _block(tokenizers: Pair, held: list[pa.RecordBatch], number: int) -> pa.Reco
 
 
 def _block_row(tokenizers: Pair, held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
-    if len(tokenizers.windows) > REMEMBERED:
-        tokenizers.windows.clear()
     ids, n_a, n_b, digests, sizes, every = [], [], [], [], [], []
     for batch in held:
         ids += batch.column("id").to_pylist()
         # A slice of texts at a time, so that few ids are held as objects.
-        for part in text_slices(batch, "text", 4 << 20):
+        for part in text_slices(batch, "text", SLICE_BYTES):
+            if len(tokenizers.windows) > REMEMBERED:
+                tokenizers.windows.clear()
             a, b = tokenizers.ids(part.column("text").to_pylist())
             groups, links = tokenizers.aligned(a, b)
             n_a += a.sizes.tolist()

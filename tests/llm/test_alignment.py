@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from functools import cache
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,20 @@ def test_windows_are_remembered():
     assert [len(x) for x in links] == [g.count("|") for g in groups] == [8, 0, 2]
 
 
+def test_a_block_remembers_few_windows(monkeypatch):
+    """Windows are forgotten within a block too; what it gives stays the same."""
+    choice = random.Random(5)
+    texts = ["".join(choice.choices("abcdefgh", k=9)) + " unusual " + "".join(choice.choices("stuvwxyz", k=9)) for _ in range(400)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(400)), "text": texts})
+    monkeypatch.setattr(alignment, "TaskContext", type("Context", (), {"get": classmethod(lambda cls: cls()), "partitionId": lambda self: 0}))
+    whole = alignment._block(alignment.Pair(A, B), [batch], 0)
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 500, raising=False)
+    monkeypatch.setattr(alignment, "REMEMBERED", 50)
+    small = alignment.Pair(A, B)
+    assert alignment._block(small, [batch], 0).equals(whole)
+    assert len(small.windows) < 150
+
+
 def test_windows_with_one_hash_are_told_apart(monkeypatch):
     pair = alignment.Pair(A, B)
     plain = alignment.Windows.hashes
