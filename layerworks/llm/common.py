@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,8 +57,13 @@ def remainder(doc_id: Column, parts: int) -> Column:
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``limit`` bytes of a text column, one row at least."""
+    return row_slices(batch, _lengths(batch.column(column)), limit)
+
+
+def row_slices(batch: pa.RecordBatch, sizes: Sequence[float], limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that the sizes of a part's rows add up to about ``limit``, one row at least."""
     start, total = 0, 0
-    for row, size in enumerate(_lengths(batch.column(column))):
+    for row, size in enumerate(sizes):
         if row > start and total + size > limit:
             yield batch.slice(start, row - start)
             start, total = row, 0

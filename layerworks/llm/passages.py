@@ -3,8 +3,10 @@
 1. Every window of ``WINDOW`` words has an anchor, the smallest hash of its short word grams.  Equal
    windows have equal anchors, and a document has about one anchor in six words.  Anchors that
    two documents share are found by one aggregate.
-2. Only windows with a shared anchor are hashed and counted: those of two documents are confirmed,
-   with the smallest document that has them.  Runs of confirmed windows are cut out of that
+2. Only windows with a shared anchor are hashed and counted, first by groups: consecutive windows
+   with one anchor, about six.  Of each group the smallest document that has it is found, and only
+   there, and only where an anchor has groups of several documents, windows are counted one by one.
+   What two documents have is confirmed.  Runs of confirmed windows are cut out of the smallest
    document as passages.
 3. Passages, cut to a bounded length, go to the documents that share a window with them.  Each task compiles the
    passages of its shard of documents into an automaton and streams the shard through it.  The
@@ -22,19 +24,22 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from layerworks.llm.common import release, stored, text_slices
-from layerworks.llm.shingles import grams, hashed_words
+from layerworks.llm.common import release, row_slices, stored, text_slices
+from layerworks.llm.shingles import GOLDEN, grams, hashed_words, mixed
 
 WINDOW = 13
 GRAM = 4
 BLOCK = (WINDOW + 1) // 2
 NO_ID = -(1 << 63)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Windows that begin in a passage at most.
+#: Windows that hold a gram, so those of a group at most.
+SPAN = WINDOW - GRAM + 1
+#: Windows that begin in a passage at most, besides the rest of a group.
 CUT = 256
 
 
@@ -48,14 +53,23 @@ def _anchors(words: np.ndarray) -> np.ndarray:
     return least
 
 
-def _windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, anchor of each window, window's place among all words, its text)."""
+def _windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, words of each text, anchor of each window, window's place among all words, its text)."""
     words, sizes = hashed_words(texts)
     if len(words) < WINDOW:
-        return words, np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return words, sizes, np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     whole = np.flatnonzero(owner[: len(words) - WINDOW + 1] == owner[WINDOW - 1 :])
-    return words, _anchors(words)[whole], whole, owner[whole]
+    return words, sizes, _anchors(words)[whole], whole, owner[whole]
+
+
+def _groups(anchors: np.ndarray, place: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Where groups begin: consecutive windows of a text with one anchor, ``SPAN`` at most."""
+    new = np.ones(len(anchors), bool)
+    new[1:] = (anchors[1:] != anchors[:-1]) | (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
+    begins = np.flatnonzero(new)
+    within = np.arange(len(anchors)) - np.repeat(begins, np.diff(np.r_[begins, len(anchors)]))
+    return np.flatnonzero(within % SPAN == 0)
 
 
 def _list_column(values: np.ndarray, owner: np.ndarray, rows: int, kind: pa.DataType) -> pa.ListArray:
@@ -69,7 +83,7 @@ def _shared_anchors(base: DataFrame) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                _, anchors, _, owner = _windows(part.column("text").to_pylist())
+                _, _, anchors, _, owner = _windows(part.column("text").to_pylist())
                 order = np.lexsort((anchors, owner))
                 anchors, owner = anchors[order], owner[order]
                 first = np.ones(len(anchors), bool)
@@ -86,37 +100,41 @@ def _shared_anchors(base: DataFrame) -> DataFrame:
 
 
 def _candidates(base: DataFrame, shared: DataFrame) -> DataFrame:
-    """(id, starts, w, c, stretches): windows with a shared anchor, their hashes, and the words there."""
+    """(id, t, starts, sizes, anchors, h, stretches): groups of windows with a shared anchor, and the words there.
+
+    Of a group there are the first window, how many, their anchor and a hash of the group's words.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 texts = part.column("text").to_pylist()
-                words, anchors, place, owner = _windows(texts)
-                begun = np.zeros(len(texts), np.int64)
-                sizes = np.array([len(t.encode("utf-8", "surrogatepass").split()) if t else 0 for t in texts])
-                begun[1:] = np.cumsum(sizes)[:-1]
+                words, counts, anchors, place, owner = _windows(texts)
                 lists = part.column("anchors")
                 keep = np.zeros(len(anchors), bool)
                 ends = np.searchsorted(owner, np.arange(len(texts) + 1))
                 for row in range(len(texts)):
                     here = slice(ends[row], ends[row + 1])
                     keep[here] = np.isin(anchors[here], lists[row].values.to_numpy().view(np.uint64))
-                place, owner = place[keep], owner[keep]
+                anchors, place, owner = anchors[keep], place[keep], owner[keep]
                 wide = grams(words, WINDOW)[place]
-                check = (grams(words ^ np.uint64(0xA5A5A5A5A5A5A5A5), WINDOW)[place] >> np.uint64(33)).astype(np.int32)
-                starts = (place - begun[owner]).astype(np.int32)
+                starts = (place - (np.cumsum(counts) - counts)[owner]).astype(np.int32)
                 ends = np.searchsorted(owner, np.arange(len(texts) + 1))
                 cut = [_stretches(text, starts[a:b]) for text, a, b in zip(texts, ends, ends[1:])]
+                begins = _groups(anchors, place, owner)
+                sizes = np.diff(np.r_[begins, len(place)])
+                # The first and the last window hold all words of the group.
+                whole = mixed(wide[begins] * GOLDEN + mixed(wide[begins + sizes - 1] + sizes.astype(np.uint64)))
+                columns = [(starts[begins], pa.int32()), (sizes, pa.int32()), (anchors[begins].view(np.int64), pa.int64()), (whole.view(np.int64), pa.int64())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id"), part.column("t"), _list_column(starts, owner, len(texts), pa.int32()), _list_column(wide.view(np.int64), owner, len(texts), pa.int64()),
-                        _list_column(check, owner, len(texts), pa.int32()), pa.array(cut, pa.list_(pa.struct([("at", pa.int32()), ("words", pa.string())]))),
+                        part.column("id"), part.column("t"), *[_list_column(values, owner[begins], len(texts), kind) for values, kind in columns],
+                        pa.array(cut, pa.list_(pa.struct([("at", pa.int32()), ("words", pa.string())]))),
                     ],
-                    ["id", "t", "starts", "w", "c", "stretches"],
+                    ["id", "t", "starts", "sizes", "anchors", "h", "stretches"],
                 )
 
-    schema = "id long, t long, starts array<int>, w array<long>, c array<int>, stretches array<struct<at: int, words: string>>"
+    schema = "id long, t long, starts array<int>, sizes array<int>, anchors array<long>, h array<long>, stretches array<struct<at: int, words: string>>"
     pairs = base.join(shared, "id").select("id", F.xxhash64("text").alias("t"), "text", "anchors")  # rows may repeat an id
     candidates = stored(pairs.mapInArrow(found, schema), "passages-candidates")
     release(shared)
@@ -138,22 +156,84 @@ def _stretches(text: str | None, starts: np.ndarray) -> list[dict]:
     return [{"at": a, "words": b" ".join(words[a:b]).decode("utf-8", "surrogatepass")} for a, b in _runs(starts)]
 
 
+def _first(rows: DataFrame, *key: str) -> DataFrame:
+    """(key, source, t, starts, sizes, last): the first place that has a key, and the largest document."""
+    first = F.min(F.struct("id", "t", "starts", "sizes")).alias("first")
+    found = rows.groupBy(*key).agg(first, F.max("id").alias("last"))
+    return found.select(*key, F.col("first.id").alias("source"), "first.t", "first.starts", "first.sizes", "last")
+
+
+def _edges(candidates: DataFrame, groups: DataFrame) -> DataFrame:
+    """(id, t, starts, sizes, anchors, h): the windows that must be counted by themselves.
+
+    A document that is not the first with a group has all its windows from the first.  So only
+    windows of first places can still be in a smaller document, in another group of their anchor.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _stretch_slices(batch):
+                flat = part.column("stretches").flatten()
+                words, counts = hashed_words(flat.field("words").to_pylist())
+                doc, groups = _row_of(part.column("wanted")), part.column("wanted").flatten()
+                starts, sizes, anchors = (groups.field(c).to_numpy() for c in ("starts", "sizes", "anchors"))
+                which = np.repeat(np.arange(len(groups)), sizes)
+                place = starts[which] + np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                # A group lies in one stretch, the last that begins before it.
+                begins = (_row_of(part.column("stretches")) << 32) + flat.field("at").to_numpy()
+                order = np.argsort(begins)
+                key = (doc[which] << 32) + place
+                inside = order[np.searchsorted(begins[order], key, "right") - 1]
+                hashes = grams(words, WINDOW)[(np.cumsum(counts) - counts)[inside] + key - begins[inside]]
+                rows = pa.array(doc[which])
+                columns = [
+                    part.column("source").take(rows), part.column("t").take(rows), pa.array(place, pa.int32()), pa.array(np.ones(len(place)), pa.int32()),
+                    pa.array(anchors[which]), pa.array(hashes.view(np.int64)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "t", "starts", "sizes", "anchors", "h"])
+
+    several = groups.groupBy("anchors").agg(F.min("source").alias("a"), F.max("source").alias("b")).where("a < b").select("anchors")
+    several = groups.join(several, "anchors", "left_semi")
+    wanted = several.groupBy("source", "t").agg(F.collect_list(F.struct("starts", "sizes", "anchors")).alias("wanted"))
+    own = candidates.select(F.col("id").alias("source"), "t", "stretches").join(wanted, ["source", "t"])
+    return stored(own.mapInArrow(counted, "id long, t long, starts int, sizes int, anchors long, h long"), "passages-edges")
+
+
+def _row_of(lists: pa.ListArray) -> np.ndarray:
+    """The row of each item."""
+    return np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+
+
+def _stretch_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch by the length of their stretches."""
+    lists = batch.column("stretches")
+    lengths = pc.binary_length(lists.flatten().field("words")).to_numpy()
+    total = np.bincount(_row_of(lists), lengths, batch.num_rows)
+    return row_slices(batch, total.tolist())
+
+
 def _routed_passages(candidates: DataFrame) -> DataFrame:
     """(id, found): for each document the passages of smaller documents that it shares a window with.
 
     A passage is a run of confirmed windows of the smallest document that has them, cut so that
-    ``CUT`` windows at most begin in it; a document gets only those that hold one of its windows.
+    ``CUT`` windows and a group at most begin in it; a document gets only those that hold one of its windows.
     """
-    rows = candidates.select("id", "t", F.explode(F.arrays_zip("starts", "w", "c")).alias("x")).select("id", "t", "x.starts", "x.w", "x.c")
-    first = F.min(F.struct("id", "t", "starts")).alias("first")
-    confirmed = rows.groupBy("w", "c").agg(first, F.max("id").alias("last")).where("first.id < last")
-    firsts = stored(confirmed.select("w", "c", F.col("first.id").alias("source"), F.col("first.t").alias("t"), F.col("first.starts").alias("starts")), "passages-windows")
+    rows = candidates.select("id", "t", F.explode(F.arrays_zip("starts", "sizes", "anchors", "h")).alias("x"))
+    rows = rows.select("id", "t", "x.starts", "x.sizes", "x.anchors", "x.h")
+    groups = stored(_first(rows, "anchors", "h"), "passages-groups")
+    edges = _edges(candidates, groups)
+    confirmed = [found.where("source < last").drop("last") for found in (groups, _first(edges, "anchors", "h"))]
+    firsts = stored(confirmed[0].unionByName(confirmed[1]), "passages-windows")
+    release(groups)
     # Windows of a document are in a run if none is missing between them.
     in_order = Window.partitionBy("source", "t").orderBy("starts")
-    runs = firsts.withColumn("run", F.col("starts") - F.row_number().over(in_order))
-    begins = runs.withColumn("begin", F.min("starts").over(Window.partitionBy("source", "t", "run")))
-    placed = begins.select("w", "c", "source", "t", (F.col("starts") - (F.col("starts") - F.col("begin")) % CUT).alias("at"))
-    routes = rows.select("id", "w", "c").join(placed, ["w", "c"]).where("source < id").select("id", "source", "t", "at").distinct()
+    reached = F.max(F.col("starts") + F.col("sizes")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = firsts.withColumn("opens", F.when(F.coalesce(F.col("starts") > reached, F.lit(True)), F.col("starts")))
+    begins = opened.withColumn("begin", F.max("opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    placed = begins.select("anchors", "h", "source", "t", (F.col("starts") - (F.col("starts") - F.col("begin")) % CUT).alias("at"))
+    held = rows.select("id", "anchors", "h").unionByName(edges.select("id", "anchors", "h"))
+    routes = stored(held.join(placed, ["anchors", "h"]).where("source < id").select("id", "source", "t", "at").distinct(), "passages-routes")
+    release(edges)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,19 +241,20 @@ def _routed_passages(candidates: DataFrame) -> DataFrame:
             for source, t, own, stretches in zip(*(batch.column(c).to_pylist() for c in ("source", "t", "own", "stretches"))):
                 ordered = [(s["at"], s["words"].split(" ")) for s in stretches]
                 firsts_of = [at for at, _ in ordered]
-                for a, b in _runs(np.unique(np.array(own))):
+                for a, b in _runs(np.unique(np.concatenate([np.arange(o["starts"], o["starts"] + o["sizes"]) for o in own]))):
                     at, words = ordered[bisect_right(firsts_of, a) - 1]
-                    out += [(source, t, p, " ".join(words[p - at : min(b, p + CUT + WINDOW - 1) - at])) for p in range(a, b - WINDOW + 1, CUT)]
+                    # A group that begins in a passage ends in it.
+                    out += [(source, t, p, " ".join(words[p - at : min(b, p + CUT + SPAN + WINDOW - 2) - at])) for p in range(a, b - WINDOW + 1, CUT)]
             columns = list(zip(*out)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["source", "t", "at", "passage"])
 
-    sources = firsts.groupBy("source", "t").agg(F.collect_list("starts").alias("own"))
+    sources = firsts.groupBy("source", "t").agg(F.collect_list(F.struct("starts", "sizes")).alias("own"))
     texts = candidates.select(F.col("id").alias("source"), "t", "stretches").join(sources, ["source", "t"])
     passages = texts.mapInArrow(cut, "source long, t long, at int, passage string")
     found = routes.join(passages, ["source", "t", "at"]).groupBy("id").agg(F.collect_list(F.struct("source", "passage")).alias("found"))
     routed = stored(found, "passages-routed")
-    release(candidates, firsts)
+    release(candidates, firsts, routes)
     return routed
 
 

@@ -75,3 +75,37 @@ def test_texts_keep_their_lines_and_rows_their_columns(spark):
     out = passages.remove_repeats(docs, carry=["found"], in_place=True).collect()
     assert {r.found: r.kept for r in out} == {"first": passage, "a": "above\n\n  below\t x", "b": "quite another\ntext", "c": None, "d": "", "e": ""}
     assert {r.found: r.doc_id for r in out}["b"] == 7
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_windows_shared_across_the_groups_of_their_anchors(spark, seed):
+    """Passages that begin and end anywhere, of few words, in chains of documents."""
+    rng = random.Random(seed)
+    stem = [f"w{rng.randrange(40)}" for _ in range(300)]
+    rows = []
+    for doc in range(150):
+        words = []
+        for _ in range(rng.randrange(1, 6)):
+            a = rng.randrange(285)
+            words += stem[a : a + rng.choice([12, 13, 14, 15, 18, 23, 40, 300])] + [rng.choice(["a", "b"])] * rng.choice([0, 1, 1, 30])
+        rows.append((doc // 2 if doc % 10 == 0 else doc, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = passages.remove_repeats(docs).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == model(rows)
+
+
+def test_copies_are_counted_by_groups_of_windows(spark, monkeypatch):
+    """The disk of a row for every window was more than four times the input."""
+    rows_of, stored = {}, passages.stored
+
+    def counted(df, label):
+        step = stored(df, label)
+        rows_of[label] = step.count()
+        return step
+
+    monkeypatch.setattr(passages, "stored", counted)
+    rng = random.Random(7)
+    copy = " ".join(f"w{rng.randrange(5000)}" for _ in range(3000))
+    got = passages.remove_repeats(spark.createDataFrame([(i, copy) for i in range(8)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {0: 0, **dict.fromkeys(range(1, 8), 3000)}
+    assert sum(rows_of.values()) < 2988
