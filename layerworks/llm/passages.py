@@ -19,8 +19,9 @@ Hashes only choose what is compared; what is removed was equal word by word.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from layerworks.llm.common import release, row_slices, stored, text_slices
-from layerworks.llm.shingles import GOLDEN, grams, hashed_words, mixed
+from layerworks.llm.shingles import GOLDEN, hashed_words, hashes_of, mixed, split_words
 
 WINDOW = 13
 GRAM = 4
@@ -41,11 +42,23 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPAN = WINDOW - GRAM + 1
 #: Windows that begin in a passage at most, besides the rest of a group.
 CUT = 256
+#: Words compared at once where an occurrence is widened.
+STEP = 16
+
+
+def _spans(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` words from each place on, by spans of twice the length before."""
+    out, length = words, 1
+    while length < width:
+        step = min(length, width - length)
+        out = mixed(out[:-step] * GOLDEN + out[step:])
+        length += step
+    return out
 
 
 def _anchors(words: np.ndarray) -> np.ndarray:
     """Smallest gram hash of the window from each place on."""
-    short = grams(words, GRAM)
+    short = _spans(words, GRAM)
     count = len(words) - WINDOW + 1
     least = short[:count].copy()
     for at in range(1, WINDOW - GRAM + 1):
@@ -53,9 +66,9 @@ def _anchors(words: np.ndarray) -> np.ndarray:
     return least
 
 
-def _windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _windows(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(word hashes, words of each text, anchor of each window, window's place among all words, its text)."""
-    words, sizes = hashed_words(texts)
+    words, sizes = hashes_of(split)
     if len(words) < WINDOW:
         return words, sizes, np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -83,7 +96,7 @@ def _shared_anchors(base: DataFrame) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                _, _, anchors, _, owner = _windows(part.column("text").to_pylist())
+                _, _, anchors, _, owner = _windows(split_words(part.column("text").to_pylist()))
                 order = np.lexsort((anchors, owner))
                 anchors, owner = anchors[order], owner[order]
                 first = np.ones(len(anchors), bool)
@@ -108,7 +121,7 @@ def _candidates(base: DataFrame, shared: DataFrame) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                texts = part.column("text").to_pylist()
+                texts = split_words(part.column("text").to_pylist())
                 words, counts, anchors, place, owner = _windows(texts)
                 lists = part.column("anchors")
                 keep = np.zeros(len(anchors), bool)
@@ -117,7 +130,7 @@ def _candidates(base: DataFrame, shared: DataFrame) -> DataFrame:
                     here = slice(ends[row], ends[row + 1])
                     keep[here] = np.isin(anchors[here], lists[row].values.to_numpy().view(np.uint64))
                 anchors, place, owner = anchors[keep], place[keep], owner[keep]
-                wide = grams(words, WINDOW)[place]
+                wide = _spans(words, WINDOW)[place]
                 starts = (place - (np.cumsum(counts) - counts)[owner]).astype(np.int32)
                 ends = np.searchsorted(owner, np.arange(len(texts) + 1))
                 cut = [_stretches(text, starts[a:b]) for text, a, b in zip(texts, ends, ends[1:])]
@@ -149,10 +162,7 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[np.r_[0, cuts + 1]].tolist(), (starts[np.r_[cuts, len(starts) - 1]] + WINDOW).tolist()))
 
 
-def _stretches(text: str | None, starts: np.ndarray) -> list[dict]:
-    if not len(starts):
-        return []
-    words = text.encode("utf-8", "surrogatepass").split()
+def _stretches(words: list[bytes], starts: np.ndarray) -> list[dict]:
     return [{"at": a, "words": b" ".join(words[a:b]).decode("utf-8", "surrogatepass")} for a, b in _runs(starts)]
 
 
@@ -184,7 +194,7 @@ def _edges(candidates: DataFrame, groups: DataFrame) -> DataFrame:
                 order = np.argsort(begins)
                 key = (doc[which] << 32) + place
                 inside = order[np.searchsorted(begins[order], key, "right") - 1]
-                hashes = grams(words, WINDOW)[(np.cumsum(counts) - counts)[inside] + key - begins[inside]]
+                hashes = _spans(words, WINDOW)[(np.cumsum(counts) - counts)[inside] + key - begins[inside]]
                 rows = pa.array(doc[which])
                 columns = [
                     part.column("source").take(rows), part.column("t").take(rows), pa.array(place, pa.int32()), pa.array(np.ones(len(place)), pa.int32()),
@@ -282,11 +292,14 @@ class Shard:
         if len(words) < WINDOW or not len(self.automaton):
             return out
         text = " " + " ".join(words) + " "
-        begins = np.cumsum([0, *[len(w) + 1 for w in words]])  # of the blank before each word
+        begins = [0, *accumulate(len(w) + 1 for w in words)]  # of the blank before each word
         done = np.zeros(len(words) - WINDOW + 1, bool)  # windows known to be covered
         last: dict[tuple[int, int], int] = {}
+        since, until = 0, -1  # blocks that end here need no look: the latest occurrence holds all their windows
         for end, places in self.automaton.iter(text):
-            after = int(np.searchsorted(begins, end))
+            if since <= end <= until:
+                continue
+            after = bisect_left(begins, end)
             at = after - BLOCK
             near = done[max(0, at + BLOCK - WINDOW) : at + 1]
             if len(near) and near.all():
@@ -296,16 +309,23 @@ class Shard:
                     continue
                 other = self.words[number]
                 left = 0
-                while left < min(at, offset) and words[at - left - 1] == other[offset - left - 1]:
+                least = min(at, offset)
+                while left + STEP <= least and words[at - left - STEP : at - left] == other[offset - left - STEP : offset - left]:
+                    left += STEP
+                while left < least and words[at - left - 1] == other[offset - left - 1]:
                     left += 1
                 right = BLOCK
                 most = min(len(words) - at, len(other) - offset)
+                while right + STEP <= most and words[at + right : at + right + STEP] == other[offset + right : offset + right + STEP]:
+                    right += STEP
                 while right < most and words[at + right] == other[offset + right]:
                     right += 1
                 last[number, at - offset] = at + right
                 if left + right >= WINDOW:
                     out[at - left : at + right] = True
                     done[at - left : at + right - WINDOW + 1] = True
+                    since = begins[at - left + WINDOW] if left < at else 0
+                    until = begins[at + right - BLOCK] if at + right < len(words) else len(text)
         return out
 
 

@@ -22,7 +22,15 @@ def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
     Words are runs of anything but ASCII white space, which is what splitting bytes does.
     """
-    parts = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
+    return hashes_of(split_words(texts))
+
+
+def split_words(texts: list[str | None]) -> list[list[bytes]]:
+    return [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
+
+
+def hashes_of(parts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """``hashed_words`` of texts that are split already."""
     sizes = np.array([len(p) for p in parts], np.int64)
     flat = np.empty(int(sizes.sum()), object)
     flat[:] = [w for p in parts for w in p]
