@@ -4,8 +4,9 @@ Every whole text is encoded by a byte-level tokenizer (A) and a piece tokenizer
 before it.  Places where a token of both ends and the next token of both begins with a blank are
 anchors: the bytes before them are the same for both, which is checked for the whole text.  Anchors
 cut a text into windows of ids, mostly a word each.  The same windows come again and again: those of
-some texts are put together by a hash, with all ids compared, and each pair of id tuples is aligned
-once and remembered.
+some texts are put together by a hash, with all ids compared, and each pair of id sequences is aligned
+once and remembered; those of a slice of texts that are new are aligned together, by one search of
+the ends of their tokens of one side among those of the other.
 
 What a text contributes to the corpus are its links, pairs of tokens that end together.  Texts are
 taken in blocks of bounded size; a block keeps its different links once, and each text the places of
@@ -19,6 +20,7 @@ import gc
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -65,14 +67,17 @@ class Pair:
         self.lengths = [np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b)]
         self.all_bytes = [np.frombuffer(b"".join(table), np.uint8) for table in (self.bytes_a, self.bytes_b)]
         self.marked = [np.array([t[:1] == b" " for t in table]) for table in (self.bytes_a, self.bytes_b)]
-        self.sizes_a, self.sizes_b = ([len(t) for t in table] for table in (self.bytes_a, self.bytes_b))
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
-        self.windows: dict[tuple, tuple[str, tuple[int, ...]]] = {}
+        # Every id in decimal digits, with room for a mark after them.
+        names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.n_digits = np.array([len(name) for name in names], np.int64)
+        width = int(self.n_digits.max()) + 1
+        self.digits = np.frombuffer("".join([name.ljust(width) for name in names]).encode(), np.uint8).reshape(-1, width)
+        self.windows: dict[bytes, tuple[str, bytes]] = {}
 
     def ids(self, texts: list[str]) -> tuple["Tokens", "Tokens"]:
         """Ids of A and B of all texts; none where a text is empty or their bytes are not the text's."""
         spaced = [" " + text for text in texts]
-        first: list = [self.ranked.encode_to_numpy(text, disallowed_special=()) if max(text) < PLAIN else None for text in spaced]
+        first: list = [self.ranked.encode_to_numpy(text, disallowed_special=()) if text.isascii() or max(text) < PLAIN else None for text in spaced]
         rest = [i for i, ids in enumerate(first) if ids is None]
         for at in range(0, len(rest), 1024):
             some = rest[at : at + 1024]
@@ -117,9 +122,9 @@ class Pair:
         ends = self.cuts(a, b)
         sides = [Windows(side.flat, cut) for side, cut in zip((a, b), ends)]
         kinds, kind = _different(*sides)
-        found = [self.remembered(*key) for key in zip(*(side.tuples(kinds) for side in sides))]
-        sizes = np.array([len(links) for _, links in found], np.int64)
-        every = np.array([link for _, links in found for link in links], np.int64)
+        found = self.remembered(*(side.only(kinds) for side in sides))
+        sizes = np.array([len(links) >> 3 for _, links in found], np.int64)
+        every = np.frombuffer(b"".join([links for _, links in found]), np.int64)
         # Windows of a text follow each other.
         bounds = np.searchsorted(ends[0], np.r_[0, np.cumsum(a.sizes)], "right")
         bounds = np.where(np.r_[0, np.cumsum(a.sizes)] == 0, 0, bounds)
@@ -130,35 +135,38 @@ class Pair:
         edges = np.r_[0, np.cumsum(counts)][bounds]
         return [";".join(names[i:j]) for i, j in zip(bounds, bounds[1:])], [links[i:j] for i, j in zip(edges, edges[1:])]
 
-    def remembered(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, tuple[int, ...]]:
-        found = self.windows.get((a, b))
-        if found is None:
-            if len(a) == 1 or len(b) == 1:  # nothing inside can end together
-                names = self.names
-                found = f"{','.join([names[x] for x in a])}|{','.join([names[y] for y in b])}", (a[-1] << 32 | b[-1],)
-            else:
-                found = self.window(a, b)
-            self.windows[a, b] = found
+    def remembered(self, a: "Windows", b: "Windows") -> list[tuple[str, bytes]]:
+        """Of each window its groups, as text, and its links; those not remembered are aligned together."""
+        ids, ends = _joined(a, b, 1 << 30)  # tells B's ids from A's
+        data = ids.astype("<u4").tobytes()
+        keys = [data[i:j] for i, j in pairwise([0, *(4 * ends).tolist()])]
+        found = list(map(self.windows.get, keys))
+        new = [i for i, known in enumerate(found) if known is None]
+        if new:
+            for i, value in zip(new, self.grouped(a.only(new), b.only(new))):
+                self.windows[keys[i]] = found[i] = value
         return found
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, tuple[int, ...]]:
-        """The groups between shared ends, and the last tokens of each."""
-        groups, links = [], []
-        of_a, of_b = [], []
-        end_a = end_b = j = 0
-        for x in a:
-            end_a += self.sizes_a[x]
-            of_a.append(self.names[x])
-            while end_b < end_a:
-                y = b[j]
-                end_b += self.sizes_b[y]
-                of_b.append(self.names[y])
-                j += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(of_a)}|{','.join(of_b)}")
-                links.append(x << 32 | y)
-                of_a, of_b = [], []
-        return ";".join(groups), tuple(links)
+    def grouped(self, a: "Windows", b: "Windows") -> Iterator[tuple[str, bytes]]:
+        """The groups between shared ends of each window, and the last tokens of each."""
+        ends_a, ends_b = np.cumsum(self.lengths[0][a.flat]), np.cumsum(self.lengths[1][b.flat])
+        near = np.searchsorted(ends_b, ends_a)  # windows have the same bytes on both sides, so every place is inside
+        last_a = np.flatnonzero(ends_b[near] == ends_a)
+        last_b = near[last_a]
+        links = a.flat[last_a] << 32 | b.flat[last_b]
+        groups = Windows(a.flat, last_a + 1), Windows(b.flat, last_b + 1)
+        ids, ends = _joined(*groups)
+        marks = np.full(len(ids), ord(","), np.uint8)
+        marks[ends - groups[1].sizes - 1], marks[ends - 1] = ord("|"), ord(";")
+        sizes = self.n_digits[ids]
+        written = self.digits[ids]
+        written[np.arange(len(ids)), sizes] = marks
+        text = written[np.arange(written.shape[1]) <= sizes[:, None]].tobytes().decode("ascii")
+        chars = np.cumsum(sizes + 1)[a.ends + b.ends - 1].tolist()
+        # A window ends in a shared end.
+        links, places = links.tobytes(), (8 * np.searchsorted(last_a, a.ends)).tolist()
+        for (i, j), (k, m) in zip(pairwise([0, *chars]), pairwise([0, *places])):
+            yield text[i : j - 1], links[k:m]
 
 
 class Tokens:
@@ -188,9 +196,19 @@ class Windows:
             return False
         return bool((self.flat == self.flat[np.repeat(self.starts[others], self.sizes) + self.place]).all())
 
-    def tuples(self, which: np.ndarray) -> Iterator[tuple[int, ...]]:
-        flat = self.flat.tolist()
-        return (tuple(flat[i:j]) for i, j in zip(self.starts[which].tolist(), self.ends[which].tolist()))
+    def only(self, which: np.ndarray | list[int]) -> "Windows":
+        """Some of the windows, end to end."""
+        sizes = self.sizes[which]
+        ends = np.cumsum(sizes)
+        return Windows(self.flat[np.repeat(self.starts[which] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))], ends)
+
+
+def _joined(a: Windows, b: Windows, more: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """A's ids and then B's (and ``more``) of each window, and the places after each window."""
+    ids = np.empty(len(a.flat) + len(b.flat), np.int64)
+    ids[np.arange(len(a.flat)) + np.repeat(b.starts, a.sizes)] = a.flat
+    ids[np.arange(len(b.flat)) + np.repeat(a.ends, b.sizes)] = b.flat + more
+    return ids, a.ends + b.ends
 
 
 def _different(a: Windows, b: Windows) -> tuple[np.ndarray, np.ndarray]:

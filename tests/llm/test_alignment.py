@@ -150,6 +150,22 @@ def test_windows_with_one_hash_are_told_apart(monkeypatch):
     assert pair.aligned(*pair.ids(["some words here"]))[0] == alignment.Pair(A, B).aligned(*pair.ids(["some words here"]))[0]
 
 
+def test_new_windows_of_many_texts_are_aligned_together(monkeypatch):
+    calls, plain = [], alignment.Pair.grouped
+    monkeypatch.setattr(alignment.Pair, "grouped", lambda self, a, b: calls.append(len(a.sizes)) or plain(self, a, b))
+    texts = ["unbelievably Großbritannien's 12345", "naïve  coöperation\n\n日本語 🙂🙂", "x", "unbelievably unbelievably x"]
+    pair = alignment.Pair(A, B)
+    first = pair.aligned(*pair.ids(texts))
+    assert len(calls) == 1 and calls[0] == len(pair.windows) > 4
+    again = pair.aligned(*pair.ids(texts[::-1]))
+    assert len(calls) == 1 and again[0] == first[0][::-1]
+    rows = brute(list(enumerate(texts)))
+    assert [hashlib.sha256(g.encode()).hexdigest() for g in first[0]] == [rows[i][-1] for i in range(len(texts))]
+    assert [[(x >> 32, x & 0xFFFFFFFF) for x in some.tolist()] for some in first[1]] == [
+        [tuple(int(side.split(",")[-1]) for side in group.split("|")) for group in g.split(";")] for g in first[0]
+    ]
+
+
 def test_no_rows_and_clashing_columns(spark):
     empty = alignment.align(spark.createDataFrame([], SCHEMA), A, B)
     assert empty.collect() == []
