@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache, wraps
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +36,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def release(*steps: DataFrame) -> None:
     """Empty the files of stored steps that nothing reads any more, also nothing planned."""
     for step in steps:
-        none = step.sparkSession.createDataFrame([], step.schema)
+        # Not rows of Python: those would start more worker processes, which stay.
+        none = step.sparkSession.range(0, 0, 1, 1).select(*[F.lit(None).cast(field.dataType).alias(field.name) for field in step.schema])
         none.write.mode("overwrite").parquet(step._stored_at)
 
 
@@ -44,6 +47,29 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: What is remembered in this process.
+_MADE: list = []
+
+
+def per_process(make: Callable[[str], Any]) -> Callable[[str], Any]:
+    """Remember in a worker process what ``make`` made, until the process makes that of another operator.
+
+    Worker processes outlive a stage, and one after the other works for all operators; what an
+    operator remembers, such as the ids of words, would else stay beside the memory of the next.
+    """
+    made = lru_cache(maxsize=4)(make)
+
+    @wraps(make)
+    def held(path: str) -> Any:
+        for other in _MADE:
+            if other is not made:
+                other.cache_clear()
+        _MADE[:] = [made]
+        return made(path)
+
+    return held
+
+
 def words_of(text: Column) -> Column:
     """Array of words; a missing text has none."""
     found = F.split(F.coalesce(text, F.lit("")), WORD_GAP)

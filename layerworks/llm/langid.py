@@ -12,7 +12,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerworks.llm.common import stored, text_slices
+from layerworks.llm.common import per_process, stored, text_slices
 
 WORD = re.compile(r"[^\W\d_]+")
 WORD_START = "▁"
@@ -34,7 +33,7 @@ CACHE_WORDS = 300_000
 UNKNOWN = "und"
 
 
-@lru_cache(maxsize=2)
+@per_process
 def pieces(path: str) -> tuple[dict[str, int], int]:
     """Pieces of the vocabulary to numbers, and how many there are.
 
@@ -278,6 +277,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", to: tuple[st
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*part.schema.names, *to]
                 )
+        # The process stays, also for stages without Python.
+        scorer = batch = part = None
+        pa.default_memory_pool().release_unused()
 
     return base.mapInArrow(predicted, schema)
 

@@ -13,7 +13,6 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerworks.llm.bpe import TwoGenerations, _byte_alphabet
-from layerworks.llm.common import stored, text_slices
+from layerworks.llm.common import per_process, stored, text_slices
 
 END_OF_DOCUMENT = 1
 CACHE_WORDS = 400_000
@@ -89,7 +88,7 @@ class WordEncoder:
         return [b"".join(map(known, p)) for p in parts]
 
 
-@lru_cache(maxsize=4)
+@per_process
 def word_encoder(path: str) -> WordEncoder:
     """One per worker process."""
     return WordEncoder(path)

@@ -1,11 +1,13 @@
 """Stages of the corpus pipeline against plain code."""
 
+import gc
 import random
+import weakref
 
 import corpus_pipeline
 import public_tokenizers
 import pytest
-from layerworks.llm import packing
+from layerworks.llm import common, langid, packing
 from pyspark.sql import functions as F
 from tests.llm.test_packing import check
 from tests.llm.test_jaccard import shingles
@@ -127,3 +129,19 @@ def test_the_whole_run_equals_its_stages_in_plain_code(spark, tmp_path):
     whole = {r.doc_id: r.length for r in packing.token_pieces(docs.where("text is not null"), public_tokenizers.path("word_bpe_49k.json")).collect()}
     assert all(tokens[i] == whole[i] for i in range(len(clean)))
     assert tokens[101] < whole[101] - 60
+
+
+def test_a_process_keeps_what_one_operator_remembers():
+    encoder = weakref.ref(packing.word_encoder(public_tokenizers.path("word_bpe_49k.json")))
+    assert encoder() is packing.word_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    langid.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    gc.collect()
+    assert encoder() is None
+
+
+def test_steps_are_emptied_without_rows_of_python(spark, monkeypatch):
+    step = common.stored(spark.sql("SELECT 1L AS a, array(struct('x' AS b, binary('y') AS c)) AS d, map('k', 1.5D) AS e"), "emptied")
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    common.release(step)
+    left = spark.read.schema(step.schema).parquet(step._stored_at)
+    assert left.count() == 0 and left.schema == step.schema
