@@ -34,6 +34,9 @@ KEPT, NAMED = 50, 100
 OPEN = 0.01
 #: Nodes of a bucket of the first graph.
 BUCKET = 400
+#: Nodes whose neighbourhoods are compared at once, and the most parts a round has: a part's vectors
+#: are on disk once for each neighbourhood they are in, and go before the next part begins.
+SLICE_NODES, MOST_SLICES = 16_384, 16
 #: Longest vectors that every search starts with.
 LONGEST = 96
 GRAPH = "node long, ids array<long>, sims array<float>, fresh array<boolean>"
@@ -114,7 +117,7 @@ def build(rows: DataFrame, copies: int = 21, tables: int = 4, seed: int = 1) ->
     number, changed = 0, total * KEPT
     while changed > OPEN * KEPT * total:  # lists only get better, so this ends
         number += 1
-        before, graph = graph, stored(_round(graph, nodes, number), f"ann-graph{number}")
+        before, graph = graph, _round(graph, nodes, number, min(MOST_SLICES, -(-total // SLICE_NODES)))
         release(before)
         changed = graph.select(F.sum(F.size(F.filter("fresh", lambda f: f))).alias("n")).first()["n"] or 0
     return Index(classes, nodes, graph, step, longest)
@@ -199,20 +202,32 @@ def _around(graph: DataFrame, number: int) -> DataFrame:
     return ahead.unionByName(back).groupBy("node", "part", "other").agg(F.max("fresh").alias("fresh"))
 
 
-def _round(graph: DataFrame, nodes: DataFrame, number: int) -> DataFrame:
-    """Compare the nodes around each node with each other, where one of the two is new there."""
+def _round(graph: DataFrame, nodes: DataFrame, number: int, slices: int = 1) -> DataFrame:
+    """Compare the nodes around each node with each other, where one of the two is new there.  Stored.
+
+    Neighbourhoods are taken in ``slices``, by a hash, one after the other.
+    """
     worst = F.when(F.size("sims") >= KEPT, F.array_min("sims")).otherwise(F.lit(float("-inf"))).cast("float")
     points = nodes.join(graph.select("node", worst.alias("worst")), "node").select(F.col("node").alias("other"), "code", "worst")
-    gathered = _around(graph, number).join(points, "other").groupBy("node", "part").agg(F.collect_list(F.struct("other", "fresh", "code", "worst")).alias("around"))
+    around = stored(_around(graph, number), "ann-around")
+    chosen = F.pmod(F.xxhash64("node", "part"), F.lit(slices))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 yield _compared(batch.column("around")[at : at + 256])
 
-    found = gathered.mapInArrow(compared, "node long, new_ids array<long>, new_sims array<float>")
-    suggested = found.groupBy("node").agg(F.flatten(F.collect_list("new_ids")).alias("new_ids"), F.flatten(F.collect_list("new_sims")).alias("new_sims"))
-    return _merged(graph.select("node", "ids", "sims").join(suggested, "node", "left").select("node", "ids", "sims", "new_ids", "new_sims"))
+    found = []
+    for at in range(slices):
+        named = around.where(chosen == at).join(points, "other").groupBy("node", "part").agg(F.collect_list(F.struct("other", "fresh", "code", "worst")).alias("around"))
+        found.append(stored(named.drop("part").mapInArrow(compared, "node long, new_ids array<long>, new_sims array<float>"), "ann-compared"))
+        del named
+    release(around)
+    suggested = reduce(DataFrame.unionByName, found).groupBy("node").agg(F.flatten(F.collect_list("new_ids")).alias("new_ids"), F.flatten(F.collect_list("new_sims")).alias("new_sims"))
+    merged = _merged(graph.select("node", "ids", "sims").join(suggested, "node", "left").select("node", "ids", "sims", "new_ids", "new_sims"))
+    kept = stored(merged, f"ann-graph{number}")
+    release(*found)
+    return kept
 
 
 def _compared(around: pa.ListArray) -> pa.RecordBatch:

@@ -125,3 +125,22 @@ def test_each_link_is_used_in_each_round(spark):
         assert {r.other for r in rows if r.node == 0} == set(range(1, 2001))
         assert {r.node for r in rows if r.other == 0} == set(range(1, 2001))
     assert {(r.part, r.other) for r in one if r.node == 0} != {(r.part, r.other) for r in two if r.node == 0}
+
+
+def test_rounds_in_slices(spark, monkeypatch):
+    """Neighbourhoods are compared part by part; no part has the vectors of all."""
+    monkeypatch.setattr(neighbours, "SLICE_NODES", 250)
+    sizes, plain = [], neighbours.stored
+
+    def stored(df, label):
+        kept = plain(df, label)
+        sizes.extend([(label, kept.count())] * (label in ("ann-around", "ann-compared")))
+        return kept
+
+    monkeypatch.setattr(neighbours, "stored", stored)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(700)]
+    got = answers(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0))
+    rounds = sum(label == "ann-around" for label, _ in sizes)
+    assert sum(label == "ann-compared" for label, _ in sizes) == 3 * rounds > 0
+    assert recall(got, brute(rows, lambda i: i % 20 == 0, 20)) >= 0.95
