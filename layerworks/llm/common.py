@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache, wraps
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
@@ -47,27 +46,20 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-#: What is remembered in this process.
-_MADE: list = []
+#: Caches of the operator that works in this process.
+_CACHES: list = []
 
 
-def per_process(make: Callable[[str], Any]) -> Callable[[str], Any]:
-    """Remember in a worker process what ``make`` made, until the process makes that of another operator.
+def forget_others(cache: Any) -> None:
+    """Clear the caches of other operators in this process; called by a cached function as it makes something.
 
     Worker processes outlive a stage, and one after the other works for all operators; what an
     operator remembers, such as the ids of words, would else stay beside the memory of the next.
     """
-    made = lru_cache(maxsize=4)(make)
-
-    @wraps(make)
-    def held(path: str) -> Any:
-        for other in _MADE:
-            if other is not made:
-                other.cache_clear()
-        _MADE[:] = [made]
-        return made(path)
-
-    return held
+    for other in _CACHES:
+        if other is not cache:
+            other.cache_clear()
+    _CACHES[:] = [cache]
 
 
 def words_of(text: Column) -> Column:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerworks.llm.common import per_process, stored, text_slices
+from layerworks.llm.common import forget_others, stored, text_slices
 
 WORD = re.compile(r"[^\W\d_]+")
 WORD_START = "▁"
@@ -33,7 +34,7 @@ CACHE_WORDS = 300_000
 UNKNOWN = "und"
 
 
-@per_process
+@lru_cache(maxsize=2)
 def pieces(path: str) -> tuple[dict[str, int], int]:
     """Pieces of the vocabulary to numbers, and how many there are.
 
@@ -43,6 +44,7 @@ def pieces(path: str) -> tuple[dict[str, int], int]:
     """
     import sentencepiece
 
+    forget_others(pieces)
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     plain = [
         model.id_to_piece(i)

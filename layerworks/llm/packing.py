@@ -13,6 +13,7 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerworks.llm.bpe import TwoGenerations, _byte_alphabet
-from layerworks.llm.common import per_process, stored, text_slices
+from layerworks.llm.common import forget_others, stored, text_slices
 
 END_OF_DOCUMENT = 1
 CACHE_WORDS = 400_000
@@ -88,9 +89,10 @@ class WordEncoder:
         return [b"".join(map(known, p)) for p in parts]
 
 
-@per_process
+@lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:
     """One per worker process."""
+    forget_others(word_encoder)
     return WordEncoder(path)
 
 
