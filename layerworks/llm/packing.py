@@ -10,7 +10,7 @@ again together.  A block whose best packing meets the lower bound is finished at
 
 from __future__ import annotations
 
-import unicodedata
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +29,9 @@ CACHE_WORDS = 400_000
 WORD_END = "</w>"
 #: The vocabulary's units between blanks.
 UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of Latin letters, whose normal form and classes are beyond doubt; the empty one has no ids.
+PLAIN = re.compile("[\x21-\x7e\xa1-\u024f]*").fullmatch
+UNIT_END = "\0"
 ITEM = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -45,8 +48,9 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memory = TwoGenerations(CACHE_WORDS)
-        # The same merges as ranks, for plain words: the mark of a word's end is a byte that UTF-8
-        # never has, and its merges come first, as their numbers are the smallest.
+        # The same merges as ranks, for plain words: the mark of a unit's end is a byte that plain
+        # words never have, and its merges come first, as their numbers are the smallest.  A line
+        # end, which no word has, parts the words and gets a number of its own.
         import regex
         import tiktoken
 
@@ -57,29 +61,30 @@ class WordEncoder:
         for token, number in vocabulary.items():
             if token not in self.special:
                 body = token.removesuffix(WORD_END)
-                ranks[bytes(letters[c] for c in body) + b"\xff" * (body != token)] = number
-        self.ranked = tiktoken.Encoding("ranks", pat_str=r"[\s\S]", mergeable_ranks=ranks, special_tokens={})
-        self.units = regex.compile(UNITS)
-
-    def _plain(self, word: str) -> bytes | None:
-        """Ids of a word of Latin letters, whose normal form and classes are beyond doubt."""
-        if max(word) >= "\u0250" or not unicodedata.is_normalized("NFC", word) or any(mark in word for mark in self.special):
-            return None
-        ids: list[int] = []
-        for unit in self.units.findall(word.lower()):
-            ids += self.ranked._encode_single_piece(unit.encode() + b"\xff")
-        return np.array(ids, "<u4").tobytes()
+                ranks[bytes(letters[c] for c in body) + UNIT_END.encode() * (body != token)] = number
+        self.between = max(vocabulary.values()) + 1
+        ranks[f"\n{UNIT_END}".encode()] = self.between
+        self.ranked = tiktoken.Encoding("ranks", pat_str=f"[^{UNIT_END}]+{UNIT_END}", mergeable_ranks=ranks, special_tokens={})
+        self.units = regex.compile(rf"{UNITS}|\n")
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters, all at once: a call for each would cost more than its ids."""
+        units = self.units.findall("\n".join([*words, ""]).lower())
+        ids = np.array(self.ranked.encode_ordinary(UNIT_END.join([*units, ""])), "<u4")
+        ends = np.flatnonzero(ids == self.between)
+        packed, starts = ids.tobytes(), np.r_[0, ends + 1] * 4
+        return [packed[start:end] for start, end in zip(starts.tolist(), (ends * 4).tolist())]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed little-endian uint32."""
         parts = [text.replace("\n", " ").split(" ") for text in texts]
-        wanted = []
+        marks = [mark for mark in self.special if any(mark in text for text in texts)]
+        plain, wanted = [], []
         for word in self.memory.missing({word for p in parts for word in p}):
-            found = self._plain(word) if word else b""
-            if found is None:
-                wanted.append(word)
-            else:
-                self.memory.new[word] = found
+            (plain if PLAIN(word) and not (marks and any(mark in word for mark in marks)) else wanted).append(word)
+        for at in range(0, len(plain), 32768):
+            some = plain[at : at + 32768]
+            self.memory.new.update(zip(some, self._plain(some)))
         for at in range(0, len(wanted), 4096):
             some = wanted[at : at + 4096]
             codes = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)

@@ -30,6 +30,30 @@ def test_pieces_equal_the_library(spark):
         assert [r.ids_crc32 for r in rows] == [zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in rows]
 
 
+def test_words_encoded_together_equal_the_library():
+    library = Tokenizer.from_file(PATH)
+    rng = random.Random(7)
+    signs = [chr(c) for c in range(0x250)] + ["\u0301", "\u03a3", "'s", "'LL", "<|endoftext|>", "<|", "the", "ing"]
+    texts = signs + ["".join(rng.choices(signs, k=rng.choice([2, 3, 9, 40]))) for _ in range(3000)] + ["x" * 5000, "\n", "\0", "a\0\n\0b"]
+    got = packing.WordEncoder(PATH).encode_all(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [code.ids for code in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_new_words_are_not_encoded_one_by_one():
+    class Counted:
+        def __init__(self, ranked):
+            self.ranked, self.calls = ranked, 0
+
+        def __getattr__(self, name):
+            self.calls += 1
+            return getattr(self.ranked, name)
+
+    tool = packing.WordEncoder(PATH)
+    tool.ranked = Counted(tool.ranked)
+    tool.encode_all([" ".join(f"word{i}," for i in range(2000))])
+    assert 1 <= tool.ranked.calls < 10
+
+
 def check(rows, capacity):
     bins = defaultdict(list)
     for r in rows:
