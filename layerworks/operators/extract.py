@@ -138,8 +138,8 @@ def to_silver(extracted: DataFrame) -> DataFrame:
     return silver_rows(dedup_documents(prepared))
 
 
-def silver_rows(documents: DataFrame) -> DataFrame:
-    """The columns of Silver, for documents that are told apart already."""
+def silver_rows(documents: DataFrame, *others: str) -> DataFrame:
+    """The columns of Silver and ``others``, for documents that are told apart already."""
     return documents.select(
         "document_id",
         "extracted_text",
@@ -150,4 +150,5 @@ def silver_rows(documents: DataFrame) -> DataFrame:
             F.lit("ingest_timestamp"),
             F.col("ingest_timestamp").cast("string"),
         ).alias("metadata"),
+        *others,
     )

@@ -10,6 +10,9 @@ Silver and Gold are logs: a folder of added rows and one of removed ids for each
 becomes visible when its number is committed, after all else is written; one that failed is done
 again over its own folders.  No row is ever written anew for another document's sake.  One writer at
 a time.
+
+Texts of long files are kept in pieces (``pieces``, ``gold_pieces``), and joined only where the text or
+the chunk is read; in the other logs they are null.
 """
 
 from __future__ import annotations
@@ -18,14 +21,16 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerworks.config import CORRUPT_COLUMN, section
 from layerworks.functions.ids import SOURCE_TYPES, document_id
+from layerworks.operators import long_texts
 from layerworks.operators.chunk import to_gold_chunks
-from layerworks.operators.extract import Parser, add_extracted_text, silver_rows
-from layerworks.sources.files import compare_listings, list_files, read_listed, to_bronze
+from layerworks.operators.extract import TEXT_TYPE, Parser, add_extracted_text, silver_rows
+from layerworks.operators.long_texts import PIECES, clean_pieces, heading_chunk_pieces, is_long, joined, piece_digests
+from layerworks.sources.files import compare_listings, list_files, read_listed, read_listed_lines, to_bronze
 
 LISTING = "file_path string, modified timestamp, length long, document_id string, digest binary, extracted_in long"
 DIFFERENCES = "file_path string, modified timestamp, length long, status string, digest binary"
@@ -33,6 +38,10 @@ EXTRACTED = (
     "document_id string, file_path string, source_type string, extracted_text string, digest binary, "
     f"ingest_timestamp timestamp, {CORRUPT_COLUMN} string"
 )
+SILVER = (
+    "document_id string, extracted_text string, source_type string, metadata map<string, string>, "
+    "extracted_in long"
+)
 COMMITS = "change long, added long, changed long, removed long"
 
 
@@ -62,7 +71,7 @@ class DocumentCollection:
         counts = {status: counts.get(status, 0) for status in ("added", "changed", "removed")}
         if not any(counts.values()):
             return counts
-        extracted = self._write(self._extract(spark, differences), "extracted", change, EXTRACTED)
+        extracted = self._write(self._extract(spark, differences, change), "extracted", change, EXTRACTED)
         after = self._write(_next_listing(before, differences, extracted, change), "listing", change, LISTING)
         moved = self._write(_moved(before, after, differences, extracted), "moved", change, MOVED)
         gone = moved.where("old_id is not null").select(F.col("old_id").alias("document_id"))
@@ -70,22 +79,40 @@ class DocumentCollection:
         come = moved.where("new_id is not null").select(F.col("new_id").alias("document_id"), "digest", F.col("extracted_in").alias("change"))
         # The change of a text's extraction is a folder: only those with a text that comes in are read.
         texts = self._log(spark, "extracted", EXTRACTED, change).join(come, ["document_id", "digest", "change"])
-        silver = silver_rows(texts)
-        self._write(silver, "silver", change, silver.schema)
-        gold = to_gold_chunks(self._part(spark, "silver", change, silver.schema), self.config)
+        silver = silver_rows(texts, "change")
+        silver = self._write(silver.withColumnRenamed("change", "extracted_in"), "silver", change, SILVER)
+        gold = to_gold_chunks(silver, self.config)
         self._write(gold, "gold", change, gold.schema)
+        self._write_gold_pieces(spark, silver.where("extracted_text is null"), change)
         row = (change, counts["added"], counts["changed"], counts["removed"])
         spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").json(f"{self.folder}/commits")
         return counts
 
     def silver(self, spark: SparkSession) -> DataFrame:
         """One row per distinct text of the folder, that of the smallest document id."""
-        return self._live(spark, "silver", silver_rows(spark.createDataFrame([], EXTRACTED)).schema)
+        rows = self._live(spark, "silver", SILVER)
+        if not self._has(spark, "pieces"):
+            return rows.drop("extracted_in")
+        last, keys = self._last(spark), ["document_id", "extracted_in"]
+        n_bytes = self._listing(spark, last).where(_may_be_long()).agg(F.sum("length")).first()[0]
+        pieces = self._log(spark, "pieces", PIECES, last).withColumnRenamed("change", "extracted_in")
+        pieces = pieces.join(rows.where("extracted_text is null").select(*keys), keys, "left_semi")
+        texts = joined(pieces, keys, "text", n_bytes or 0)
+        # Where the text is not read, the planner leaves this join out.
+        text = F.coalesce("extracted_text", "text").alias("extracted_text")
+        return rows.join(texts, keys, "left").select("document_id", text, "source_type", "metadata")
 
     def gold(self, spark: SparkSession) -> DataFrame:
         """The chunks of Silver."""
         empty = silver_rows(spark.createDataFrame([], EXTRACTED))
-        return self._live(spark, "gold", to_gold_chunks(empty, self.config).schema)
+        schema = to_gold_chunks(empty, self.config).schema
+        rows = self._live(spark, "gold", schema)
+        if not self._has(spark, "gold_pieces"):
+            return rows
+        pieces = self._live(spark, "gold_pieces", _gold_pieces_schema(spark, self.config))
+        n_bytes = pieces.agg(F.sum("n_bytes")).first()[0]
+        keys = [name for name in schema.names if name != "chunk_text"]
+        return rows.unionByName(joined(pieces, keys, "chunk_text", n_bytes)) if n_bytes else rows
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         """The files of the folder that have no text, and why."""
@@ -98,9 +125,10 @@ class DocumentCollection:
         """The changes taken over, and how many files each had."""
         return spark.read.schema(COMMITS).json(f"{self.folder}/commits")
 
-    def _extract(self, spark: SparkSession, differences: DataFrame) -> DataFrame:
+    def _extract(self, spark: SparkSession, differences: DataFrame, change: int) -> DataFrame:
         fresh = differences.where("status != 'removed'")
-        files = read_listed(spark, self.source, fresh, self.pattern)
+        long = is_long(self.parsers or (), self.types)
+        files = read_listed(spark, self.source, fresh, self.pattern, ~long)
         documents = add_extracted_text(to_bronze(files), self.parsers, self.types)
         # A text is computed once: a digest of it must not repeat the work.
         texts = documents.select(
@@ -108,7 +136,33 @@ class DocumentCollection:
             "ingest_timestamp", CORRUPT_COLUMN,
         )
         digest = F.unhex(F.sha2(F.col("extracted_text").cast("binary"), 256))
-        return texts.withColumn("digest", digest).select(*_names(EXTRACTED))
+        extracted = texts.withColumn("digest", digest).select(*_names(EXTRACTED))
+        if fresh.where(_may_be_long()).isEmpty() and not self._has(spark, "pieces"):
+            return extracted
+        named = read_listed(spark, self.source, fresh, self.pattern, long)
+        lines = read_listed_lines(spark, self.source, fresh, self.pattern, long)
+        pieces = clean_pieces(lines.withColumn("document_id", document_id("path")))
+        pieces = self._write(pieces, "pieces", change, PIECES)
+        known = to_bronze(named).drop("binary_content").withColumns(
+            {
+                "document_id": document_id("file_path"),
+                "source_type": F.lit(TEXT_TYPE),
+                "extracted_text": F.lit(None).cast("string"),
+            }
+        )
+        return extracted.unionByName(known.join(piece_digests(pieces), "document_id").select(*_names(EXTRACTED)))
+
+    def _write_gold_pieces(self, spark: SparkSession, silver: DataFrame, change: int) -> None:
+        """The chunks of Silver's texts in pieces."""
+        if silver.isEmpty() and not self._has(spark, "gold_pieces"):
+            return
+        schema = _gold_pieces_schema(spark, self.config)
+        come = silver.select("document_id", F.col("extracted_in").alias("change"))
+        if self._has(spark, "pieces"):
+            pieces = self._log(spark, "pieces", PIECES, change).join(come, ["document_id", "change"])
+        else:
+            pieces = spark.createDataFrame([], PIECES)
+        self._write(heading_chunk_pieces(pieces, self.config), "gold_pieces", change, schema)
 
     def _last(self, spark: SparkSession) -> int:
         try:
@@ -118,6 +172,16 @@ class DocumentCollection:
                 raise
             return 0
 
+    def _has(self, spark: SparkSession, log: str) -> bool:
+        """Whether a log that only long texts need was begun."""
+        try:
+            spark.read.schema("change long").parquet(f"{self.folder}/{log}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
+
     def _listing(self, spark: SparkSession, change: int) -> DataFrame:
         return self._part(spark, "listing", change, LISTING) if change else spark.createDataFrame([], LISTING)
 
@@ -143,9 +207,17 @@ class DocumentCollection:
         return added.join(gone.alias("gone"), later, "left_anti").drop("change")
 
 
+def _gold_pieces_schema(spark: SparkSession, config: Mapping[str, Any]) -> Any:
+    return heading_chunk_pieces(spark.createDataFrame([], PIECES), config).schema
+
+
 MOVED = "digest binary, old_id string, new_id string, extracted_in long"
 
 
+def _may_be_long() -> Column:
+    return F.col("length") > long_texts.LONG_BYTES
+
+
 def _names(schema: str) -> list[str]:
     return [column.split()[0] for column in schema.split(", ")]
 

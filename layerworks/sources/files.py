@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerworks.config import CORRUPT_COLUMN, INGEST_MODES
@@ -101,20 +101,55 @@ def compare_listings(before: DataFrame, now: DataFrame) -> DataFrame:
     )
 
 
+def _only_listed(files: DataFrame, listed: DataFrame) -> DataFrame:
+    oldest = listed.agg(F.min("modified")).first()[0]
+    if oldest is None:
+        return files.limit(0)
+    files = files.where(F.col("modificationTime") >= F.lit(oldest))
+    named = listed.select(F.col("file_path").alias("path"))
+    others = files.select("path").join(named, "path", "left_anti")
+    return files if others.isEmpty() else files.join(others, "path", "left_anti")
+
+
 def read_listed(
-    spark: SparkSession, source_path: str, listed: DataFrame, path_glob_filter: str | None = None
+    spark: SparkSession,
+    source_path: str,
+    listed: DataFrame,
+    path_glob_filter: str | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
     """The listed files of a folder with their contents.
 
     Files older than all listed ones are not opened: the reader is told the oldest time.  Those that
     are as new without being listed are few, mostly none, and are left out by an anti join; so
-    contents need no shuffle, however many files are listed.
+    contents need no shuffle, however many files are listed.  ``only`` is a condition on a file's
+    ``_metadata``; files that fail it are not opened either.
     """
     files = read_binary_batch(spark, source_path, path_glob_filter)
-    oldest = listed.agg(F.min("modified")).first()[0]
-    if oldest is None:
-        return files.limit(0)
-    files = files.where(F.col("modificationTime") >= F.lit(oldest))
-    named = listed.select(F.col("file_path").alias("path"))
-    others = files.select("path").join(named, "path", "left_anti")
-    return files if others.isEmpty() else files.join(others, "path", "left_anti")
+    return _only_listed(files if only is None else files.where(only), listed)
+
+
+def read_listed_lines(
+    spark: SparkSession,
+    source_path: str,
+    listed: DataFrame,
+    path_glob_filter: str | None = None,
+    only: Column | None = None,
+) -> DataFrame:
+    """The listed files by lines that end with a line feed, however long the files are.
+
+    Lines have the path and length of their file; ``start`` and ``number`` order those of a file.
+    """
+    files = read_binary_batch(spark, source_path, path_glob_filter)
+    lines = spark.read.load(source_path, format="text", lineSep="\n", **_given(pathGlobFilter=path_glob_filter))
+    if only is not None:
+        files, lines = files.where(only), lines.where(only)
+    name = F.col("_metadata.file_path").alias("name")
+    named = _only_listed(files.select("path", "modificationTime", "length", name), listed).select("path", "length", "name")
+    lines = lines.select(
+        name,
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("number"),
+        "value",
+    )
+    return lines.join(F.broadcast(named), "name").drop("name")
